@@ -1,0 +1,60 @@
+"""Stored tables: one parquet folder per table, each write in a new version folder.
+
+A version counts once its ``_SUCCESS`` file is there, so a reader never sees a
+half-written table and no job overwrites a path it is reading.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+
+from ..schema import TABLES
+
+
+def _filesystem(spark: SparkSession, path: str):
+    jvm = spark.sparkContext._jvm
+    folder = jvm.org.apache.hadoop.fs.Path(path)
+    return folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), jvm.org.apache.hadoop.fs.Path
+
+
+def _versions(spark: SparkSession, path: str) -> list[int]:
+    fs, path_of = _filesystem(spark, path)
+    if not fs.exists(path_of(path)):
+        return []
+    names = [status.getPath().getName() for status in fs.listStatus(path_of(path))]
+    numbers = [int(name[2:]) for name in names if name.startswith("v=") and name[2:].isdigit()]
+    return sorted(n for n in numbers if fs.exists(path_of(f"{path}/v={n}/_SUCCESS")))
+
+
+def write_version(df: DataFrame, path: str) -> int:
+    """Writes ``df`` as the next version of the table at ``path``."""
+    done = _versions(df.sparkSession, path)
+    number = (done[-1] + 1) if done else 1
+    df.write.mode("overwrite").parquet(f"{path}/v={number}")
+    return number
+
+
+def read_latest(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """Newest complete version, or an empty frame of the schema."""
+    done = _versions(spark, path)
+    if not done:
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).parquet(f"{path}/v={done[-1]}")
+
+
+def load_tables(spark: SparkSession, root: str, register: bool = True) -> dict[str, DataFrame]:
+    """All event tables under ``root`` with their fixed schemas, also as temp views."""
+    tables = {name: read_latest(spark, f"{root}/{name}", schema) for name, schema in TABLES.items()}
+    if register:
+        for name, df in tables.items():
+            df.createOrReplaceTempView(name)
+    return tables
+
+
+def existing_tables(spark: SparkSession, root: str) -> list[str]:
+    return [name for name in TABLES if _versions(spark, f"{root}/{name}")]
+
+
+def run_sql(spark: SparkSession, query: str, **params) -> DataFrame:
+    """Parameterised SQL over the registered views."""
+    return spark.sql(query, args=params)
