@@ -6,7 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from .. import vocab
-from .text import any_word, slug, strip, title_words, unicode_pattern
+from .text import any_word, let, slug, strip, unicode_pattern
 
 
 def present(*items: Column) -> Column:
@@ -19,10 +19,6 @@ def said(col: Column) -> Column:
     return F.coalesce(col, F.lit(""))
 
 
-def full_text(title: Column, description: Column) -> Column:
-    return F.lower(F.concat(said(title), F.lit(" "), said(description)))
-
-
 def time_mentions(text: Column) -> Column:
     """All matches of each time pattern, pattern by pattern, joined by ', '."""
     found = [F.regexp_extract_all(text, F.lit(unicode_pattern(p)), 0) for p in vocab.TIME_PATTERNS]
@@ -35,24 +31,40 @@ def location_mentions(text: Column) -> Column:
     return F.array_join(F.regexp_extract_all(text, F.lit(pattern), 0), ", ")
 
 
-def event_types(text: Column) -> Column:
-    """Matching keyword groups of a lower-cased text, in fixed order, joined by ', '."""
-    names = [
-        F.when(any_word(text, words), title_words(F.lit(group))) for group, words in vocab.EVENT_KEYWORDS.items()
+def _sql_array(items: list[str]) -> str:
+    return "array(" + ", ".join("'" + item.replace("'", "''") + "'" for item in items) + ")"
+
+
+def _named_groups(groups: dict[str, list[str]]) -> str:
+    rows = [
+        f"struct('{name}' AS name, '{name.replace('_', ' ').title()}' AS label, {_sql_array(words)} AS words)"
+        for name, words in groups.items()
     ]
-    joined = F.concat_ws(", ", *names)
-    return F.when(joined == "", F.lit(vocab.DEFAULT_EVENT_TYPE)).otherwise(joined)
-
-
-def tags(text: Column) -> Column:
-    """First ten tags in alphabetical order: groups, keywords, places, dayparts and weekdays found."""
-    found = []
-    for group, words in vocab.EVENT_KEYWORDS.items():
-        found.append(F.when(any_word(text, words), F.lit(group)))
-        found.extend(F.when(text.contains(word), F.lit(word)) for word in words)
-    found.extend(F.when(text.contains(word), F.lit(word)) for word in vocab.LOCATION_KEYWORDS + vocab.WEEKDAYS)
-    found.extend(F.when(any_word(text, words), F.lit(part)) for part, words in vocab.DAYPART_WORDS.items())
-    return F.slice(F.array_sort(F.array_distinct(present(*found))), 1, 10)
+    return f"array({', '.join(rows)})"
+
+
+_PLAIN_TAGS = [w for words in vocab.EVENT_KEYWORDS.values() for w in words] + vocab.LOCATION_KEYWORDS + vocab.WEEKDAYS
+_ALL_WORDS = list(dict.fromkeys(_PLAIN_TAGS + [w for words in vocab.DAYPART_WORDS.values() for w in words]))
+
+
+def keyword_features(title: str, description: str) -> Column:
+    """Struct ``event_type``, ``tags`` from one search of the vocabulary in the lower-cased title and description.
+
+    ``event_type``: keyword groups found, in fixed order, joined by ', '. ``tags``: groups, keywords, places,
+    dayparts and weekdays found, in alphabetical order, first ten.
+    """
+
+    def groups(of: dict[str, list[str]], field: str) -> str:
+        return f"transform(filter({_named_groups(of)}, g -> arrays_overlap(g.words, found)), g -> g.{field})"
+
+    labels = f"array_join({groups(vocab.EVENT_KEYWORDS, 'label')}, ', ')"
+    plain = f"array_intersect({_sql_array(_PLAIN_TAGS)}, found)"
+    names = groups(vocab.EVENT_KEYWORDS | vocab.DAYPART_WORDS, "name")
+    result = f"""struct(coalesce(nullif({labels}, ''), '{vocab.DEFAULT_EVENT_TYPE}') AS event_type,
+        slice(sort_array(array_union({plain}, {names})), 1, 10) AS tags)"""
+    search = f"filter({_sql_array(_ALL_WORDS)}, word -> contains(txt, word))"
+    text = f"lower(coalesce({title}, '') || ' ' || coalesce({description}, ''))"
+    return F.expr(let("txt", text, let("found", search, result)))
 
 
 def missing_details(description: Column) -> Column:

@@ -57,3 +57,11 @@ def slug(col: Column) -> Column:
 
 def title_words(col: Column) -> Column:
     return F.initcap(F.replace(col, F.lit("_"), F.lit(" ")))
+
+
+def let(name: str, value: str, body: str) -> str:
+    """SQL that evaluates ``value`` once per row and uses it as ``name`` in ``body``.
+
+    A plain column would be merged into the lambda that uses it and be computed again for every element.
+    """
+    return f"transform(array({value}), {name} -> {body})[0]"

@@ -12,19 +12,18 @@ from ..functions import features as f
 def enhance(events: DataFrame, footer: str = vocab.FOOTER) -> DataFrame:
     """One narrow projection, no shuffle: id, content columns, ``tags`` and the two suggestion lists."""
     title, description = F.col("title"), F.col("description")
-    text = f.full_text(title, description)
     read = events.select(
         "id",
         "title",
         "description",
-        text.alias("text"),
+        f.keyword_features("title", "description").alias("words"),
         f.time_mentions(f.said(description)).alias("structured_time"),
         f.location_mentions(f.said(description)).alias("structured_location"),
     )
     when_text, where_text = F.col("structured_time"), F.col("structured_location")
     typed = read.select(
         "*",
-        f.event_types(F.col("text")).alias("event_type"),
+        F.col("words.event_type").alias("event_type"),
         f.title_suggestions(title).alias("title_suggestions"),
         f.description_suggestions(description, when_text, where_text).alias("missing_details"),
     )
@@ -39,7 +38,7 @@ def enhance(events: DataFrame, footer: str = vocab.FOOTER) -> DataFrame:
         f.seo_score(title, description, F.size("title_suggestions"), F.size("missing_details")).alias("seo_score"),
         "missing_details",
         "title_suggestions",
-        f.tags(F.col("text")).alias("tags"),
+        F.col("words.tags").alias("tags"),
     )
 
 

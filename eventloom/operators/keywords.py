@@ -5,21 +5,26 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.text import let
 from ..vocab import STOP_WORDS
 
 WORD = r"[\p{L}\p{N}_]{2,}"
 
 
-def words_of(text: Column, stop_words: list[str]) -> Column:
-    words = F.regexp_extract_all(F.lower(text), F.lit(WORD), 0)
-    return F.filter(words, lambda w: ~w.isin(*stop_words)) if stop_words else words
+def phrase_counts(text_col: str, stop_words: list[str]) -> Column:
+    """Array of (term, tf) for the words and adjacent word pairs of a text; stop words are gone before pairing.
 
-
-def phrases(words: Column) -> Column:
-    """Words followed by adjacent word pairs (stop words are gone before pairing)."""
-    n_pairs = F.greatest(F.size(words) - 1, F.lit(0))
-    pairs = F.zip_with(words, F.slice(words, F.lit(2), n_pairs), lambda a, b: F.concat_ws(" ", a, b))
-    return F.concat(words, F.slice(pairs, F.lit(1), n_pairs))
+    Counting happens inside the row by sorting its terms, so no shuffle by (text, term) is needed.
+    """
+    stops = ", ".join("'" + w.replace("'", "''") + "'" for w in stop_words)
+    words = f"regexp_extract_all(lower({text_col}), r'{WORD}', 0)"
+    kept = f"filter({words}, w -> w NOT IN ({stops}))" if stop_words else words
+    pairs = "transform(slice(words, 2, greatest(size(words) - 1, 0)), (w, i) -> words[i] || ' ' || w)"
+    said = let("words", kept, f"sort_array(concat(words, {pairs}))")
+    starts = "filter(transform(said, (s, i) -> i), i -> i = 0 OR said[i] != said[i - 1])"
+    runs = """transform(starts, (a, k) -> struct(said[a] AS term,
+        CAST(coalesce(get(starts, k + 1), size(said)) - a AS BIGINT) AS tf))"""
+    return F.expr(let("said", said, let("starts", starts, runs)))
 
 
 def key_terms(
@@ -27,13 +32,11 @@ def key_terms(
 ) -> DataFrame:
     """``id, rank, term, tf, df, score``: the top phrases of each text, ties by term.
 
-    score = tf * (ln((1 + texts) / (1 + df)) + 1). Term counts are pre-aggregated before each shuffle.
+    score = tf * (ln((1 + texts) / (1 + df)) + 1). Document counts are pre-aggregated before their shuffle.
     The join on the term may meet very common terms; its right side has one row per term, so the adaptive
     planner can split the left side.
     """
-    words = texts.select(F.col(id_col).alias("id"), words_of(F.col(text_col), stop_words).alias("words"))
-    terms = words.select("id", F.explode(phrases(F.col("words"))).alias("term"))
-    tf = terms.groupBy("id", "term").agg(F.count(F.lit(1)).alias("tf"))
+    tf = texts.select(F.col(id_col).alias("id"), F.inline(phrase_counts(text_col, stop_words)))
     df = tf.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
     n = texts.agg(F.count(F.lit(1)).alias("n")).scalar()
     idf = F.log((n + 1) / (F.col("df") + 1)) + 1
