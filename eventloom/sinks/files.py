@@ -22,9 +22,9 @@ def write_csv(rows: DataFrame, path: str, single_file: bool = False) -> int:
     """Writes the export layout with its headers; returns the row count and writes nothing when there is no row."""
     if rows.isEmpty():
         return 0
-    counted, seen = _counted(with_headers(rows))
-    if single_file:
-        counted = counted.coalesce(1)
+    laid_out = with_headers(rows)
+    # The rows come range-partitioned by their sort; counting above that exchange meets each row once.
+    counted, seen = _counted(laid_out.coalesce(1) if single_file else laid_out)
     # Quotes are doubled and line breaks kept inside quoted fields, as spreadsheet readers expect.
     counted.write.mode("overwrite").option("header", True).option("escape", '"').option("emptyValue", "").csv(path)
     return seen.get["rows"]
@@ -57,8 +57,10 @@ def write_calendars(
     """
     if entries.isEmpty():
         return 0
-    counted, seen = _counted(vevent_text(entries, stamp if stamp is not None else F.current_timestamp()))
-    placed = counted.coalesce(1) if single_file else counted.repartitionByRange("date", "time", "id")
+    blocks = vevent_text(entries, stamp if stamp is not None else F.current_timestamp())
+    placed = blocks.coalesce(1) if single_file else blocks.repartitionByRange("date", "time", "id")
+    # Counted after the range partitioning, whose sampling pass reads the rows once more.
+    counted, seen = _counted(placed)
     header, footer = calendar_header(name), "END:VCALENDAR\r"
 
     def frame(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -71,7 +73,7 @@ def write_calendars(
         if opened:
             yield pd.DataFrame({"value": [footer]})
 
-    ordered = placed.sortWithinPartitions("date", "time", "id").select("body")
+    ordered = counted.sortWithinPartitions("date", "time", "id").select("body")
     ordered.mapInPandas(frame, "value string").write.mode("overwrite").text(path)
     return seen.get["rows"]
 
