@@ -22,7 +22,7 @@ def seeds(make_events):
         ("Registration Deadline", "2025-09-30 17:00:00", None, "Online/Student Services Building"),
         ("Basketball Game", "2025-10-15 19:00:00", None, "North Student Center Gym"),
         ("Art Exhibition", "2025-10-05 18:00:00", None, "Art Building Gallery"),
-        ("Career Fair", "2025-11-01 10:00:00", None, "William D. Harvey Theater"),
+        ("Career Fair", "2025-11-01 10:00:00", None, "A. B. Founder Theater"),
     )
 
 
