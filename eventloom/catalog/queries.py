@@ -466,7 +466,8 @@ def location_mentions(spark, sf):
 @query
 def event_types(spark, sf):
     rows = ce(spark, sf, "id", "title", "description")
-    return rows.select("id", features.keyword_features("title", "description")["event_type"].alias("event_type"))
+    text = features.full_text(F.col("title"), F.col("description"))
+    return rows.select("id", text.alias("text")).select("id", features.event_types(F.col("text")).alias("event_type"))
 
 
 @query
@@ -522,7 +523,8 @@ def doc_keywords(spark, sf):
 def tag_slugs(spark, sf):
     """Slugs of the tags, and of the title."""
     rows = ce(spark, sf, "id", "title", "description")
-    tagged = rows.withColumn("tags", features.keyword_features("title", "description")["tags"])
+    text = features.full_text(F.col("title"), F.col("description"))
+    tagged = rows.withColumn("text", text).withColumn("tags", features.tags("text"))
     return tagged.select(
         "id",
         F.array_join(features.tag_slugs(F.col("tags")), ",").alias("tag_slugs"),

@@ -37,7 +37,7 @@ def _sql_array(items: list[str]) -> str:
 
 def _named_groups(groups: dict[str, list[str]]) -> str:
     rows = [
-        f"struct('{name}' AS name, '{name.replace('_', ' ').title()}' AS label, {_sql_array(words)} AS words)"
+        f"struct('{name}' AS name, {_sql_array(words)} AS words)"
         for name, words in groups.items()
     ]
     return f"array({', '.join(rows)})"
@@ -47,23 +47,27 @@ _PLAIN_TAGS = [w for words in vocab.EVENT_KEYWORDS.values() for w in words] + vo
 _ALL_WORDS = list(dict.fromkeys(_PLAIN_TAGS + [w for words in vocab.DAYPART_WORDS.values() for w in words]))
 
 
-def keyword_features(title: str, description: str) -> Column:
-    """Struct ``event_type``, ``tags`` from one search of the vocabulary in the lower-cased title and description.
+def full_text(title: Column, description: Column) -> Column:
+    return F.lower(F.concat(said(title), F.lit(" "), said(description)))
 
-    ``event_type``: keyword groups found, in fixed order, joined by ', '. ``tags``: groups, keywords, places,
-    dayparts and weekdays found, in alphabetical order, first ten.
-    """
 
-    def groups(of: dict[str, list[str]], field: str) -> str:
-        return f"transform(filter({_named_groups(of)}, g -> arrays_overlap(g.words, found)), g -> g.{field})"
+def event_types(text: Column) -> Column:
+    """Keyword groups found in a lower-cased text, in fixed order, joined by ', '. Never NULL."""
+    labels = [
+        F.when(any_word(text, words), F.lit(group.replace("_", " ").title()))
+        for group, words in vocab.EVENT_KEYWORDS.items()
+    ]
+    joined = F.concat_ws(", ", *labels)
+    default = F.lit(vocab.DEFAULT_EVENT_TYPE)
+    return F.coalesce(F.when(joined != "", joined), default)
+
 
-    labels = f"array_join({groups(vocab.EVENT_KEYWORDS, 'label')}, ', ')"
+def tags(text: str) -> Column:
+    """First ten tags in alphabetical order: groups, keywords, places, dayparts and weekdays found in a lower-cased text."""
+    matching = f"filter({_named_groups(vocab.EVENT_KEYWORDS | vocab.DAYPART_WORDS)}, g -> arrays_overlap(g.words, found))"
     plain = f"array_intersect({_sql_array(_PLAIN_TAGS)}, found)"
-    names = groups(vocab.EVENT_KEYWORDS | vocab.DAYPART_WORDS, "name")
-    result = f"""struct(coalesce(nullif({labels}, ''), '{vocab.DEFAULT_EVENT_TYPE}') AS event_type,
-        slice(sort_array(array_union({plain}, {names})), 1, 10) AS tags)"""
+    result = f"slice(sort_array(array_union({plain}, transform({matching}, g -> g.name))), 1, 10)"
     search = f"filter({_sql_array(_ALL_WORDS)}, word -> contains(txt, word))"
-    text = f"lower(coalesce({title}, '') || ' ' || coalesce({description}, ''))"
     return F.expr(let("txt", text, let("found", search, result)))
 
 
@@ -97,7 +101,7 @@ def seo_score(title: Column, description: Column, n_title: Column, n_description
     )
     for_description = F.when(description_length == 0, 30).when(description_length < 100, 15).otherwise(0)
     score = F.lit(100) - for_title - for_description - (n_title + n_description) * 5
-    return F.least(F.lit(100), F.greatest(F.lit(0), score))
+    return F.coalesce(F.least(F.lit(100), F.greatest(F.lit(0), score)), F.lit(0))
 
 
 def enhanced_text(

@@ -16,14 +16,14 @@ def enhance(events: DataFrame, footer: str = vocab.FOOTER) -> DataFrame:
         "id",
         "title",
         "description",
-        f.keyword_features("title", "description").alias("words"),
+        f.full_text(title, description).alias("text"),
         f.time_mentions(f.said(description)).alias("structured_time"),
         f.location_mentions(f.said(description)).alias("structured_location"),
     )
     when_text, where_text = F.col("structured_time"), F.col("structured_location")
     typed = read.select(
         "*",
-        F.col("words.event_type").alias("event_type"),
+        f.event_types(F.col("text")).alias("event_type"),
         f.title_suggestions(title).alias("title_suggestions"),
         f.description_suggestions(description, when_text, where_text).alias("missing_details"),
     )
@@ -38,7 +38,7 @@ def enhance(events: DataFrame, footer: str = vocab.FOOTER) -> DataFrame:
         f.seo_score(title, description, F.size("title_suggestions"), F.size("missing_details")).alias("seo_score"),
         "missing_details",
         "title_suggestions",
-        F.col("words.tags").alias("tags"),
+        f.tags("text").alias("tags"),
     )
 
 

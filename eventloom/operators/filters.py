@@ -78,6 +78,11 @@ def list_events(
     if location:
         events = text_filters(events, location=location)
     rows = date_range(events, as_of, date_from, date_to, "listing").select("id", "title", "date")
+    if limit and not event_type:
+        # The content cannot change which rows are listed: cut first, then look up the content of those rows only.
+        rows = rows.orderBy("date", "id").limit(limit)
+        listed = F.broadcast(rows.select(F.col("id").alias("event_id")))
+        content = content.join(listed, "event_id", "left_semi")
     rows = text_filters(with_content(rows, content, "event_type", "seo_score"), event_type)
     rows = rows.withColumn("seo_score", F.coalesce("seo_score", F.lit(0))).orderBy("date", "id")
     return rows.limit(limit) if limit else rows
