@@ -21,10 +21,6 @@ class Cleaned(NamedTuple):
     warning: Column
 
 
-def _cut(col: Column, limit: int) -> Column:
-    return F.when(F.length(col) > limit, F.substring(col, 1, limit)).otherwise(col)
-
-
 def _too_long(col: Column, limit: int, field: str) -> Column:
     return F.when(F.length(col) > limit, F.lit(f"{field} exceeds {limit} characters, truncating"))
 
@@ -37,9 +33,9 @@ def clean_title(col: Column) -> Cleaned:
         ~long_enough, F.concat(F.lit("Title too short: '"), text, F.lit("'"))
     )
     return Cleaned(
-        F.when(filled(col) & long_enough, collapse(_cut(text, vocab.TITLE_MAX))),
+        F.when(filled(col) & long_enough, collapse(F.substring(text, 1, vocab.TITLE_MAX))),
         error,
-        F.when(filled(col), _too_long(text, vocab.TITLE_MAX, "Title")),
+        _too_long(text, vocab.TITLE_MAX, "Title"),
     )
 
 
@@ -52,12 +48,10 @@ def clean_date(col: Column) -> Cleaned:
         parsed = F.when(text.rlike(shape), F.try_to_date(text, pattern))
         warning = F.when(parsed.isNotNull(), F.lit(f"Date converted from {name} to YYYY-MM-DD")).otherwise(warning)
         day = F.coalesce(day, parsed)
-    error = F.when(~filled(col), F.lit("Date is required")).when(
-        day.isNull(), F.concat(F.lit("Invalid date format: '"), col, F.lit("'"))
-    )
-    return Cleaned(
-        F.when(filled(col), day.cast("string")), error, F.when(filled(col) & canonical.isNull(), warning)
-    )
+    # The costly test comes first: the planner computes it once for value and error.
+    invalid = F.concat(F.lit("Invalid date format: '"), col, F.lit("'"))
+    error = F.when(day.isNull(), F.when(filled(col), invalid).otherwise(F.lit("Date is required")))
+    return Cleaned(day.cast("string"), error, F.when(canonical.isNull(), warning))
 
 
 def _twelve_hour_minutes(text: Column) -> Column:
@@ -83,9 +77,7 @@ def clean_time(col: Column) -> Cleaned:
 
 def _clean_optional(col: Column, limit: int, field: str) -> Cleaned:
     text = collapse(strip(col))
-    return Cleaned(
-        F.when(text != "", _cut(text, limit)), no_text(), F.when(filled(col), _too_long(text, limit, field))
-    )
+    return Cleaned(F.nullif(F.substring(text, 1, limit), F.lit("")), no_text(), _too_long(text, limit, field))
 
 
 def clean_location(col: Column) -> Cleaned:
@@ -99,10 +91,9 @@ def clean_description(col: Column) -> Cleaned:
 def clean_link(col: Column) -> Cleaned:
     text = strip(col)
     good = F.coalesce(text.rlike("(?iu)" + unicode_pattern(vocab.URL_PATTERN)), F.lit(False))
-    error = F.when(~filled(col), F.lit("Link is required")).when(
-        ~good, F.concat(F.lit("Invalid URL format: '"), text, F.lit("'"))
-    )
-    return Cleaned(F.when(filled(col) & good, text), error, no_text())
+    invalid = F.concat(F.lit("Invalid URL format: '"), text, F.lit("'"))
+    error = F.when(~good, F.when(filled(col), invalid).otherwise(F.lit("Link is required")))
+    return Cleaned(F.when(good, text), error, no_text())
 
 
 CLEANERS = {
