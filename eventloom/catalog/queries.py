@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions import calendar, features, labels
+from ..functions import calendar, features
 from ..functions.clean import CLEANERS
 from ..functions.text import slug
 from ..operators import analytics as a
