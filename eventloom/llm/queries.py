@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import langid, simhash
+from . import ann, chat, decontaminate, langid, packing, secrets, simhash, toxicity
 from .common import remainder, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -17,12 +17,74 @@ def op1_simhash(spark: SparkSession, sf: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf, "documents"))
 
 
+def op4_ann(spark: SparkSession, sf: str) -> DataFrame:
+    return ann.search(table(spark, sf, "embeddings"))
+
+
+def op5_chat(spark: SparkSession, sf: str) -> DataFrame:
+    text = "</s>[INST] ok [/INST]"
+    extra = spark.createDataFrame([(-7, 0, "user", text), (-7, 1, "assistant", text)], "conv_id long, turn long, role string, text string")
+    rows = table(spark, sf, "conversations").select("conv_id", "turn", "role", "text").unionByName(extra)
+    return chat.digest(chat.format_conversations(rows))
+
+
+def op6_secrets(spark: SparkSession, sf: str) -> DataFrame:
+    return secrets.digest(secrets.scan(table(spark, sf, "documents").select("doc_id", "text")))
+
+
+def op7_packing(spark: SparkSession, sf: str) -> DataFrame:
+    return packing.pack(table(spark, sf, "documents"))
+
+
 def op8_langid(spark: SparkSession, sf: str) -> DataFrame:
     docs = table(spark, sf, "documents").select("doc_id", "text", "lang", (remainder("doc_id", 4) == 2).alias("held_out"))
     model = langid.fit(docs.filter("NOT held_out"))
     return langid.identify(docs.select("doc_id", "held_out", "text"), model).drop("text")
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_simhash, op8_langid)}
+def op9_toxicity(spark: SparkSession, sf: str) -> DataFrame:
+    docs = table(spark, sf, "documents").select("doc_id", "text", (remainder("doc_id", 3) == 1).alias("held_out"))
+    labels = table(spark, sf, "labels").select("doc_id", "toxic").filter("toxic IS NOT NULL")
+    scorer = toxicity.fit(docs.filter("NOT held_out").join(labels, "doc_id"))
+    return toxicity.score(docs, scorer).drop("text")
+
+
+def op10_decontamination(spark: SparkSession, sf: str) -> DataFrame:
+    return decontaminate.leaks(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
+
+
+QUERIES: dict[str, Query] = {
+    f.__name__: f
+    for f in (op1_simhash, op4_ann, op5_chat, op6_secrets, op7_packing, op8_langid, op9_toxicity, op10_decontamination)
+}
+
+
+def _replaced(column: str) -> str:
+    for char, code in (("\\", "\\\\"), ("<", "\\l"), ("[", "\\b"), ("]", "\\r")):
+        column = f"replace({column}, '{char}', '{code}')"
+    return column
+
 
-SQL: dict[str, str] = {}
+# A text conflicts if its turn's closing marker is in it, a role of its own if it holds a bracket.
+SQL: dict[str, str] = {
+    "op5_chat": f"""
+WITH rows AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -7, 0, 'user', '</s>[INST] ok [/INST]' UNION ALL SELECT -7, 1, 'assistant', '</s>[INST] ok [/INST]'),
+turns AS (
+  SELECT *, CASE role WHEN 'system' THEN 11 WHEN 'user' THEN 13 WHEN 'assistant' THEN 9 ELSE 14 END AS marks,
+    CASE WHEN role IN ('system', 'user', 'assistant') THEN '' ELSE role END AS named,
+    CASE role WHEN 'system' THEN contains(text, '[/SYS]') WHEN 'user' THEN contains(text, '[/INST]')
+      WHEN 'assistant' THEN contains(text, '</s>') ELSE contains(text, '[/ROLE]') OR contains(role, ']') END AS conflicts
+  FROM rows),
+levels AS (SELECT conv_id, bool_or(conflicts) AS escaped FROM turns GROUP BY conv_id),
+sized AS (
+  SELECT t.*, escaped, CASE WHEN escaped THEN length({_replaced("text")}) + length({_replaced("named")})
+    ELSE length(text) + length(named) END AS written
+  FROM turns t JOIN levels l ON t.conv_id IS NOT DISTINCT FROM l.conv_id)
+SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+  CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+  sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+  CAST(sum(marks + written) + max(CASE WHEN escaped THEN 5 ELSE 3 END) AS BIGINT) AS formatted_chars
+FROM sized GROUP BY conv_id""",
+}
