@@ -1,10 +1,10 @@
 """Toxicity by two Kneser-Ney models, one of toxic and one of ordinary text.
 
-Both models are interpolated bigrams with absolute discounts. Their lower order is shared: how many distinct words a word
-follows in either class, so that an expression that is rare in one class is smoothed by what both know of it and speaks
-for neither. A text is read in overlapping windows; the score compares the length-normalised log-likelihoods of the whole
-text and of its most toxic window, so that a few toxic words in a very long text count too. What the two differences mean is
-fitted on labelled rows the counts have not seen.
+Both models are interpolated bigrams with absolute discounts. Counts are of distinct texts or of distinct words before, whichever
+are fewer, so neither copies of a text nor a phrase repeated in one count more than once. What the discounts take from rare
+expressions of either class makes up a lower order that both share. The score compares the length-normalised log-likelihoods of
+the whole text and of its most toxic windows, so that a few toxic words in a very long text count too. What these differences
+mean is fitted on labelled rows that the counts have not seen.
 """
 
 from __future__ import annotations
@@ -17,18 +17,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import mix, pair_hash, pieces, utf8, word_hashes
+from .common import materialize, mix, pair_hash, pieces, utf8, word_hashes
 from .decontaminate import PUNCTUATION
 
-#: What is taken from every count of a class for its lower order, so that expressions this rare are left to it; and from the
-#: counts shared by both classes.
-DISCOUNT = 4.0
-SHARED_DISCOUNT = 0.75
+#: What is taken from each count: of bigrams, of words, and of the words that both classes share.
+PAIR_DISCOUNT, DISCOUNT, SHARED_DISCOUNT = 20.0, 2.0, 0.75
 #: Labelled rows of each class (expected number) that the counts, and the meaning of scores, are fitted on.
 COUNT_DOCS = 4000
 FIT_DOCS = 1500
 #: Words of a window, and how far the next one begins.
-WINDOW, STEP = 24, 8
+WINDOWS = ((1, 1), (8, 2))
 CUT = 0.7
 
 _START = mix(np.array([1], np.uint64))[0]
@@ -61,21 +59,19 @@ class _Lookup:
 
 
 class KneserNey:
-    """Both models, from bigrams: arrays of the word before, the word, and its counts in ordinary and in toxic text."""
-
-    def __init__(self, before: np.ndarray, word: np.ndarray, n: np.ndarray):
-        self.pairs = _Lookup(pair_hash(before, word), n[:, 0], n[:, 1])
-        contexts, at = np.unique(before, return_inverse=True)
-        sums = [np.bincount(at, n[:, c], len(contexts)) for c in (0, 1)]
-        removed = [np.bincount(at, np.minimum(n[:, c], DISCOUNT), len(contexts)) for c in (0, 1)]
-        self.contexts = _Lookup(contexts, *sums, *removed)
-        words, at = np.unique(word, return_inverse=True)
-        # Lower order: in how many contexts of its class a word stands; below it the same over both classes.
-        kinds = [np.bincount(at, n[:, c] > 0, len(words)) for c in (0, 1)]
-        self.words = _Lookup(words, *kinds, np.bincount(at, minlength=len(words)))
-        self.types = [float(v.sum()) for v in kinds]
-        self.removed = [float(np.minimum(v, DISCOUNT).sum()) for v in kinds]
-        self.all_types, self.all_words = float(len(word)), float(len(words))
+    """Both models. ``pairs`` are bigrams (before, word) with their counts in ordinary and in toxic text, at least those above the
+    discount; ``contexts`` have for either class the sum of the counts and of what the discount takes; ``words`` the counts."""
+
+    def __init__(self, pairs: tuple[np.ndarray, ...], contexts: tuple[np.ndarray, ...], words: tuple[np.ndarray, ...]):
+        before, word, *n = pairs
+        self.pairs = _Lookup(pair_hash(before, word), *n)
+        self.contexts = _Lookup(*contexts)
+        word, *n = words
+        left_over = sum(np.minimum(v, DISCOUNT) for v in n)
+        self.words = _Lookup(word, *n, left_over)
+        self.types = [float(v.sum()) for v in n]
+        self.removed = [float(np.minimum(v, DISCOUNT).sum()) for v in n]
+        self.all_types, self.all_words = float(left_over.sum()), float(len(word))
 
     def probabilities(self, before: np.ndarray, word: np.ndarray, c: int) -> np.ndarray:
         """P(word | word before) in ordinary (0) or toxic (1) text; words never seen share the rest."""
@@ -88,7 +84,7 @@ class KneserNey:
         else:
             lower = shared
         seen, removed = np.maximum(contexts[c], 1), contexts[2 + c]
-        upper = np.maximum(self.pairs(pair_hash(before, word))[c] - DISCOUNT, 0) / seen + removed / seen * lower
+        upper = np.maximum(self.pairs(pair_hash(before, word))[c] - PAIR_DISCOUNT, 0) / seen + removed / seen * lower
         return np.where(contexts[c] > 0, upper, lower)
 
     def differences(self, hashes: np.ndarray, owner: np.ndarray) -> np.ndarray:
@@ -98,24 +94,26 @@ class KneserNey:
         return np.log(toxic) - np.log(ordinary)
 
     def features(self, texts: pa.Array) -> np.ndarray:
-        """For each text the mean difference per word, and that of the window where it is highest; zeros without words."""
+        """For each text the mean difference per word, and that of the highest window of each size; zeros without words."""
         hashes, owner = tokens(texts)
-        out = np.zeros((len(texts), 2))
+        out = np.zeros((len(texts), 1 + len(WINDOWS)))
         count = np.bincount(owner, minlength=len(texts))
         sums = np.concatenate([[0], np.cumsum(self.differences(hashes, owner))]) if len(hashes) else np.zeros(1)
         first = np.concatenate([[0], np.cumsum(count)])
         for i in np.flatnonzero(count):
             a, b = first[i], first[i + 1]
-            begin = np.arange(a, max(a + 1, b - WINDOW + STEP), STEP)
-            end = np.minimum(begin + WINDOW, b)
-            begin = np.maximum(np.minimum(begin, b - WINDOW), a)
-            # A window shorter than the others is not held to fewer words.
-            out[i] = (sums[b] - sums[a]) / (b - a), ((sums[end] - sums[begin]) / WINDOW).max()
+            out[i, 0] = (sums[b] - sums[a]) / (b - a)
+            for k, (size, step) in enumerate(WINDOWS):
+                begin = np.arange(a, max(a + 1, b - size + step), step)
+                end = np.minimum(begin + size, b)
+                begin = np.maximum(end - size, a)
+                # A text shorter than a window is not held to fewer words.
+                out[i, 1 + k] = ((sums[end] - sums[begin]) / size).max()
         return out
 
 
 class Scorer:
-    """A model and the logistic function of its two differences."""
+    """A model and the logistic function of its differences."""
 
     def __init__(self, model: KneserNey, weights: np.ndarray):
         self.model, self.weights = model, weights
@@ -164,38 +162,66 @@ def fit(labelled: DataFrame, text: str = "text", toxic: str = "toxic") -> Scorer
         return rows.filter(F.pmod(drawn, F.lit(3)).isin(remainders) & (point < F.when(F.col("toxic") == 1, rate[1]).otherwise(rate[0])))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Distinct (two words before, word before, word) of each text; marks the first of each bigram and of each word."""
         for batch in pieces(batches, "text"):
             hashes, owner = tokens(batch.column("text"))
-            pairs = np.empty(len(hashes), [("before", np.uint64), ("word", np.uint64), ("toxic", np.int32)])
-            if len(hashes):
-                pairs["before"], pairs["word"] = _context(hashes, owner), hashes
-                pairs["toxic"] = np.asarray(batch.column("toxic"))[owner]
-            found, n = np.unique(pairs, return_counts=True)
+            if not len(hashes):
+                continue
+            before = _context(hashes, owner)
+            rows = np.empty(len(hashes), [("text", np.int64), ("word", np.uint64), ("before", np.uint64), ("left", np.uint64)])
+            rows["text"], rows["word"], rows["before"], rows["left"] = owner, hashes, before, _context(before, owner)
+            rows = np.unique(rows)
+            new_word = np.concatenate([[True], (rows["word"][1:] != rows["word"][:-1]) | (rows["text"][1:] != rows["text"][:-1])])
+            new_pair = new_word | np.concatenate([[True], rows["before"][1:] != rows["before"][:-1]])
             yield pa.record_batch(
-                [pa.array(found["before"].view(np.int64)), pa.array(found["word"].view(np.int64)), pa.array(found["toxic"]), pa.array(n)],
-                names=["before", "word", "toxic", "n"],
+                [
+                    *(pa.array(np.ascontiguousarray(rows[c]).view(np.int64)) for c in ("before", "word", "left")),
+                    pa.array(np.asarray(batch.column("toxic"))[rows["text"]]),
+                    pa.array(new_pair.astype(np.int64)),
+                    pa.array(new_word.astype(np.int64)),
+                ],
+                names=["before", "word", "left", "toxic", "new_pair", "new_word"],
             )
 
-    counts = part([0, 1], [min(COUNT_DOCS, 2 / 3 * min(sizes.values()))] * 2, 2 / 3).mapInArrow(count, "before long, word long, toxic int, n long").groupBy("before", "word")
-    got = counts.agg(F.sum(F.expr("IF(toxic = 0, n, 0)")).alias("n0"), F.sum(F.expr("IF(toxic = 1, n, 0)")).alias("n1")).toArrow()
-    before, word = (got[c].to_numpy().view(np.uint64) for c in ("before", "word"))
-    model = KneserNey(before, word, np.column_stack([got["n0"].to_numpy(), got["n1"].to_numpy()]))
+    sample = part([0, 1], [min(COUNT_DOCS, 2 / 3 * min(sizes.values()))] * 2, 2 / 3).dropDuplicates(["text"])
+    seen = sample.mapInArrow(count, "before long, word long, left long, toxic int, new_pair long, new_word long")
+    by_left = seen.groupBy("toxic", "word", "before", "left").agg(F.sum("new_pair").alias("texts"), F.sum("new_word").alias("words"))
+    by_pair = materialize(
+        by_left.groupBy("toxic", "word", "before").agg(
+            F.least(F.sum("texts"), F.count("*")).alias("n"), F.sum("words").alias("words")
+        )
+    )
+
+    def classes(value: str, suffix: str = "") -> list:
+        return [F.sum(F.expr(f"IF(toxic = {c}, {value}, 0)")).alias(f"n{c}{suffix}") for c in (0, 1)]
+
+    def arrays(df: DataFrame, *keys: str) -> tuple[np.ndarray, ...]:
+        got = df.toArrow()
+        return tuple(got[c].to_numpy().view(np.uint64) if c in keys else got[c].to_numpy().astype(np.float64) for c in got.column_names)
+
+    # All of it is of the bounded sample.
+    by_word = by_pair.groupBy("toxic", "word").agg(F.least(F.sum("words"), F.count("*")).alias("n"))
+    model = KneserNey(
+        arrays(by_pair.filter(F.col("n") > PAIR_DISCOUNT).groupBy("before", "word").agg(*classes("n")), "before", "word"),
+        arrays(by_pair.groupBy("before").agg(*classes("n"), *classes(f"least(n, {PAIR_DISCOUNT}D)", "_taken")), "before"),
+        arrays(by_word.groupBy("word").agg(*classes("n")), "word"),
+    )
     shared = labelled.sparkSession.sparkContext.broadcast(model)
+    names = [f"feature_{k}" for k in range(1 + len(WINDOWS))]
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in pieces(batches, "text"):
             found = shared.value.features(batch.column("text"))
-            yield pa.record_batch([batch.column("toxic"), pa.array(found[:, 0]), pa.array(found[:, 1])], names=["toxic", "whole", "window"])
+            yield pa.record_batch([batch.column("toxic"), *(pa.array(found[:, k]) for k in range(len(names)))], names=["toxic", *names])
 
-    held = part([2], [FIT_DOCS] * 2, 1 / 3).mapInArrow(measure, "toxic int, whole double, window double").toArrow()
-    features = np.column_stack([held["whole"].to_numpy(), held["window"].to_numpy()])
-    return Scorer(model, logistic_weights(features, held["toxic"].to_numpy()))
+    held = part([2], [FIT_DOCS] * 2, 1 / 3).mapInArrow(measure, ", ".join(["toxic int", *(f"{n} double" for n in names)])).toArrow()
+    return Scorer(model, logistic_weights(np.column_stack([held[n].to_numpy() for n in names]), held["toxic"].to_numpy()))
 
 
 def score(docs: DataFrame, scorer: Scorer | None, text: str = "text") -> DataFrame:
     """Adds ``score`` (0 to 1, higher: likelier toxic) and ``predicted`` (1 from CUT on) to every row, in place of such columns.
 
-    Null and empty texts get the score of a text without differences. Without a scorer every score is 0.
+    Null and empty texts get the score of a text without differences. Repeated rows are scored alike. Without a scorer every score is 0.
     """
     docs = docs.drop("score", "predicted")
     schema = T.StructType([*docs.schema.fields, T.StructField("score", T.DoubleType()), T.StructField("predicted", T.IntegerType())])
