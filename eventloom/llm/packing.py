@@ -8,14 +8,14 @@ window borders, so that one window at most is padded. The driver sees the histog
 
 from __future__ import annotations
 
+import base64
 import zlib
 from collections.abc import Iterator
-from itertools import chain
 
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
-import regex
+import tiktoken
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -26,7 +26,7 @@ from .common import materialize, pieces
 
 WINDOW = 1024
 END = 0
-TOKENIZER = "byte_bpe_50k.json"
+TOKENIZER, RANKS = "byte_bpe_50k.json", "byte_bpe_50k.tiktoken"
 #: Lengths of one member of a combination of three are multiples of this; it sets the number of combinations, nothing else.
 GRID = 64
 SWEEPS = 12
@@ -34,33 +34,28 @@ SWEEPS = 12
 ROUNDS = 5
 #: Rows numbered in one task.
 BUCKET_ROWS = 50_000
-#: Words whose ids a task remembers.
-CACHE_WORDS = 400_000
 
-_WORDS = regex.compile(public_tokenizers.PATTERN)
+class TextIds:
+    """Ids of texts by a vocabulary of byte pairs, given as merge ranks and as the tokenizer's own file.
 
+    The ranks are the same vocabulary and several times faster to use than the file's own reader, which is kept for texts that
+    spell a special token.
+    """
 
-class WordIds(dict):
-    """Ids of single words, looked up once each; the tokenizer itself never merges over the borders of its words."""
-
-    def __init__(self, name: str):
-        super().__init__()
+    def __init__(self, name: str, ranks: str):
         self.tokenizer = Tokenizer.from_file(public_tokenizers.path(name))
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        with open(public_tokenizers.path(ranks), "rb") as lines:
+            merges = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
+        self.ranks = tiktoken.Encoding(ranks, pat_str=public_tokenizers.PATTERN, mergeable_ranks=merges, special_tokens={})
 
-    def __missing__(self, word: str) -> list[int]:
-        ids = self.tokenizer.encode(word, add_special_tokens=False).ids
-        if len(self) >= CACHE_WORDS:
-            self.clear()
-        self[word] = ids
-        return ids
-
-    def of(self, text: str) -> np.ndarray:
+    def of(self, text: str) -> bytes:
+        """Ids of a text as little-endian 32-bit values, with END behind."""
         if any(s in text for s in self.special):
-            ids = self.tokenizer.encode(text, add_special_tokens=False).ids
+            ids = np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4")
         else:
-            ids = list(chain.from_iterable(map(self.__getitem__, _WORDS.findall(text))))
-        return np.array([*ids, END], "<u4")
+            ids = self.ranks.encode_to_numpy(text, disallowed_special=()).astype("<u4", copy=False)
+        return ids.tobytes() + END.to_bytes(4, "little")
 
 
 def combinations(window: int, present: np.ndarray) -> list[tuple[int, ...]]:
@@ -114,21 +109,22 @@ def repeat_counts(histogram: np.ndarray, combos: list[tuple[int, ...]]) -> np.nd
     return counts
 
 
-def tokenized(docs: DataFrame, doc_id: str, text: str, tokenizer: str, window: int) -> DataFrame:
+def tokenized(docs: DataFrame, doc_id: str, text: str, tokenizer: str, ranks: str, window: int) -> DataFrame:
     """Stored, for each row: ``row`` (its number), ``doc_id, tokens``, CRCs of its whole windows, length, CRC and ids of its tail."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = WordIds(tokenizer)
+        texts = TextIds(tokenizer, ranks)
         row = TaskContext.get().partitionId() << 40
         for batch in pieces(batches, "text"):
             tokens, crcs, lengths, tail_crcs, tails = [], [], [], [], []
             for value in batch.column("text").to_pylist():
-                ids = words.of(value or "")
-                full = len(ids) // window
-                tokens.append(len(ids))
-                crcs.append([zlib.crc32(ids[i * window : (i + 1) * window].tobytes()) for i in range(full)])
-                tail = ids[full * window :].tobytes()
-                lengths.append(len(ids) - full * window)
+                ids = texts.of(value or "")
+                n = len(ids) // 4
+                full = n // window
+                tokens.append(n)
+                crcs.append([zlib.crc32(ids[4 * i * window : 4 * (i + 1) * window]) for i in range(full)])
+                tail = ids[4 * full * window :]
+                lengths.append(n - full * window)
                 tail_crcs.append(zlib.crc32(tail))
                 tails.append(tail)
             rows = np.arange(row, row + len(tokens))
@@ -170,14 +166,21 @@ def _starts(rows: DataFrame, amount: str, into: str, *group: str) -> DataFrame:
     )
 
 
-def pack(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", tokenizer: str = TOKENIZER, window: int = WINDOW) -> DataFrame:
+def pack(
+    docs: DataFrame,
+    doc_id: str = "doc_id",
+    text: str = "text",
+    tokenizer: str = TOKENIZER,
+    ranks: str = RANKS,
+    window: int = WINDOW,
+) -> DataFrame:
     """One row per piece: ``doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset``.
 
     Every row of ``docs`` is a document of its own, also where ids are null or repeat. A null text is an empty one; an empty
     text is its end token alone. An empty table gives no pieces. Other columns are not read.
     """
     spark = docs.sparkSession
-    rows = tokenized(docs, doc_id, text, tokenizer, window)
+    rows = tokenized(docs, doc_id, text, tokenizer, ranks, window)
     histogram = np.zeros(window, np.int64)
     for r in rows.groupBy("tail_length").agg(F.count("*").alias("n")).collect():
         histogram[r["tail_length"]] = r["n"]
