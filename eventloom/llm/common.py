@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from ..session import ensure_checkpoint_dir
 
 #: Bytes of text handled at once inside a task; one longer text is a piece of its own.
-PIECE_BYTES = 4_000_000
+PIECE_BYTES = 1_000_000
 
 
 def materialize(df: DataFrame) -> DataFrame:
