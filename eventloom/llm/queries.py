@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, chat, decontaminate, langid, packing, secrets, simhash, toxicity
+from . import ann, chat, decontaminate, langid, lm, packing, secrets, simhash, toxicity
 from .common import remainder, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -17,6 +17,10 @@ def op1_simhash(spark: SparkSession, sf: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf, "documents"))
 
 
+def op3_lm(spark: SparkSession, sf: str) -> DataFrame:
+    return lm.score(table(spark, sf, "documents"), remainder("doc_id", 10) == 0)
+
+
 def op4_ann(spark: SparkSession, sf: str) -> DataFrame:
     return ann.search(table(spark, sf, "embeddings"))
 
@@ -55,7 +59,7 @@ def op10_decontamination(spark: SparkSession, sf: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     f.__name__: f
-    for f in (op1_simhash, op4_ann, op5_chat, op6_secrets, op7_packing, op8_langid, op9_toxicity, op10_decontamination)
+    for f in (op1_simhash, op3_lm, op4_ann, op5_chat, op6_secrets, op7_packing, op8_langid, op9_toxicity, op10_decontamination)
 }
 
 
