@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, chat, decontaminate, langid, lm, packing, secrets, simhash, toxicity
+from . import ann, chat, decontaminate, langid, lm, packing, repeats, secrets, simhash, toxicity
 from .common import remainder, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -17,6 +17,10 @@ def op1_simhash(spark: SparkSession, sf: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf, "documents"))
 
 
+def op2_repeats(spark: SparkSession, sf: str) -> DataFrame:
+    return repeats.remove_repeats(table(spark, sf, "documents")).drop("kept")
+
+
 def op3_lm(spark: SparkSession, sf: str) -> DataFrame:
     return lm.score(table(spark, sf, "documents"), remainder("doc_id", 10) == 0)
 
@@ -48,8 +52,8 @@ def op8_langid(spark: SparkSession, sf: str) -> DataFrame:
 
 def op9_toxicity(spark: SparkSession, sf: str) -> DataFrame:
     docs = table(spark, sf, "documents").select("doc_id", "text", (remainder("doc_id", 3) == 1).alias("held_out"))
-    labels = table(spark, sf, "labels").select("doc_id", "toxic").filter("toxic IS NOT NULL")
-    scorer = toxicity.fit(docs.filter("NOT held_out").join(labels, "doc_id"))
+    labels = table(spark, sf, "labels").filter(remainder("doc_id", 3) != 1)
+    scorer = toxicity.fit(docs.filter("NOT held_out"), labels)
     return toxicity.score(docs, scorer).drop("text")
 
 
@@ -59,7 +63,18 @@ def op10_decontamination(spark: SparkSession, sf: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     f.__name__: f
-    for f in (op1_simhash, op3_lm, op4_ann, op5_chat, op6_secrets, op7_packing, op8_langid, op9_toxicity, op10_decontamination)
+    for f in (
+        op1_simhash,
+        op2_repeats,
+        op3_lm,
+        op4_ann,
+        op5_chat,
+        op6_secrets,
+        op7_packing,
+        op8_langid,
+        op9_toxicity,
+        op10_decontamination,
+    )
 }
 
 

@@ -22,8 +22,8 @@ from .decontaminate import PUNCTUATION
 
 #: What is taken from each count: of bigrams, of words, and of the words that both classes share.
 PAIR_DISCOUNT, DISCOUNT, SHARED_DISCOUNT = 20.0, 2.0, 0.75
-#: Labelled rows of each class (expected number) that the counts, and the meaning of scores, are fitted on.
-COUNT_DOCS = 4000
+#: Labelled documents of each class (expected number) that the counts, and the meaning of scores, are fitted on.
+COUNT_DOCS = 3000
 FIT_DOCS = 1500
 #: Words of a window, and how far the next one begins.
 WINDOWS = ((1, 1), (8, 2))
@@ -144,22 +144,25 @@ def logistic_weights(features: np.ndarray, toxic: np.ndarray, ridge: float = 1e-
     return w
 
 
-def fit(labelled: DataFrame, text: str = "text", toxic: str = "toxic") -> Scorer | None:
-    """Fits on rows with a text and a label of 0 or 1; None if a class is missing.
+def fit(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text", toxic: str = "toxic") -> Scorer | None:
+    """Fits on documents with a text and a label of 0 or 1; None if a class is missing.
 
-    Of two thirds of the rows as many of either class are counted, COUNT_DOCS at most; FIT_DOCS of a class at most, of the other
-    third, give the weights. Both numbers are expected ones: rows are drawn by a hash of their text.
+    Of two thirds of the labels as many of either class are counted, COUNT_DOCS at most; FIT_DOCS of a class at most, of the other
+    third, give the weights. Both numbers are expected ones: labels are drawn by a hash of their id, before any text is read.
     """
-    rows = labelled.select(F.col(text).alias("text"), F.col(toxic).cast("int").alias("toxic")).filter("text IS NOT NULL AND toxic IN (0, 1)")
-    sizes = {r["toxic"]: r["n"] for r in rows.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
+    given = labels.select(F.col(doc_id).alias("id"), F.col(toxic).cast("int").alias("toxic")).filter("id IS NOT NULL AND toxic IN (0, 1)").distinct()
+    sizes = {r["toxic"]: r["n"] for r in given.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
     if set(sizes) != {0, 1}:
         return None
-    drawn = F.xxhash64(F.lit("toxicity"), "text")
+    drawn = F.xxhash64(F.lit("toxicity"), "id")
     point = F.pmod(F.shiftrightunsigned(drawn, 20), F.lit(1_000_000)) / 1e6
+    texts = docs.select(F.col(doc_id).alias("id"), F.col(text).alias("text")).filter("text IS NOT NULL")
 
-    def part(remainders: list[int], docs: list[float], share: float) -> DataFrame:
-        rate = [min(1.0, docs[c] / (share * sizes[c])) for c in (0, 1)]
-        return rows.filter(F.pmod(drawn, F.lit(3)).isin(remainders) & (point < F.when(F.col("toxic") == 1, rate[1]).otherwise(rate[0])))
+    def part(remainders: list[int], most: list[float], share: float) -> DataFrame:
+        rate = [min(1.0, most[c] / (share * sizes[c])) for c in (0, 1)]
+        picked = given.filter(F.pmod(drawn, F.lit(3)).isin(remainders) & (point < F.when(F.col("toxic") == 1, rate[1]).otherwise(rate[0])))
+        # COUNT_DOCS or FIT_DOCS ids of a class, whatever the data: sent to the texts, which stay where they are.
+        return texts.join(F.broadcast(picked), "id").select("text", "toxic")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Distinct (two words before, word before, word) of each text; marks the first of each bigram and of each word."""
@@ -206,7 +209,7 @@ def fit(labelled: DataFrame, text: str = "text", toxic: str = "toxic") -> Scorer
         arrays(by_pair.groupBy("before").agg(*classes("n"), *classes(f"least(n, {PAIR_DISCOUNT}D)", "_taken")), "before"),
         arrays(by_word.groupBy("word").agg(*classes("n")), "word"),
     )
-    shared = labelled.sparkSession.sparkContext.broadcast(model)
+    shared = docs.sparkSession.sparkContext.broadcast(model)
     names = [f"feature_{k}" for k in range(1 + len(WINDOWS))]
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

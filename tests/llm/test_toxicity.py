@@ -25,7 +25,7 @@ def labelled(spark, n=600):
 
 @pytest.fixture(scope="module")
 def scorer(spark):
-    return toxicity.fit(labelled(spark))
+    return toxicity.fit(labelled(spark), labelled(spark))
 
 
 def test_separates(spark, scorer):
@@ -46,7 +46,7 @@ def test_edges(spark, scorer, make_docs):
 
 
 def test_without_both_classes(spark, make_docs):
-    assert toxicity.fit(labelled(spark).filter("toxic = 0")) is None
+    assert toxicity.fit(labelled(spark), labelled(spark).filter("toxic = 0")) is None
     assert toxicity.score(make_docs((1, "x")), None).head().score == 0
 
 
