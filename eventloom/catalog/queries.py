@@ -16,6 +16,7 @@ from ..operators.keywords import key_terms
 from ..operators.validation import validate, validation_stats
 from ..plans import recommend
 from ..plans.ingest import ingest_batch
+from ..session import cut_lineage
 from ..sources.campus import campus_events
 from ..sources.pages import extract_listing_rows
 from .views import AS_OF, DIRTY, HISTORY_BEFORE, RELISTED
@@ -30,8 +31,8 @@ def query(fn: Query) -> Query:
     return fn
 
 
-def ce(spark: SparkSession, sf: str, *columns: str) -> DataFrame:
-    return campus_events(spark, sf, *columns)
+def ce(spark: SparkSession, sf: str, *columns: str, since: str | None = None) -> DataFrame:
+    return campus_events(spark, sf, *columns, since=since)
 
 
 def derived(spark: SparkSession, sf: str, view: str) -> DataFrame:
@@ -88,7 +89,7 @@ def insert_if_absent(spark, sf):
 
 @query
 def upcoming(spark, sf):
-    return filters.upcoming(ce(spark, sf, "id", "title", "date", "time"), AS_OF)
+    return filters.upcoming(ce(spark, sf, "id", "title", "date", "time", since=AS_OF), AS_OF)
 
 
 @query
@@ -128,6 +129,11 @@ def ids_in(spark, sf):
     return filters.ids_in(ce(spark, sf, "id", "title", "date"), [3, 14, 159, 265, 358, 979])
 
 
+@query
+def event_by_id(spark, sf):
+    return filters.by_id(ce(spark, sf, "id", "title", "description", "date"), _first_upcoming(spark, sf))
+
+
 @query
 def enhance_queue(spark, sf):
     """Content stored for the events before a date; the others wait."""
@@ -139,7 +145,9 @@ def enhance_queue(spark, sf):
 
 @query
 def list_upcoming(spark, sf):
-    rows = filters.list_events(ce(spark, sf, "id", "title", "date"), content(spark, sf, "event_type", "seo_score"), AS_OF)
+    listed = filters.first_rows(ce(spark, sf, "id", "date", since=AS_OF), AS_OF, 10).select("id")
+    shown = cut_lineage(ce(spark, sf, "id", "title", "description", "date", since=AS_OF).join(listed, "id", "left_semi"))
+    rows = filters.list_events(shown, enhance.content_of(enhance.enhance(shown)), AS_OF)
     return ints_as_long(filters.list_display(rows))
 
 
@@ -160,7 +168,7 @@ def list_all_filtered(spark, sf):
 
 @query
 def view_next(spark, sf):
-    return filters.view_next(ce(spark, sf), AS_OF)
+    return filters.view_next(ce(spark, sf, since=AS_OF), AS_OF)
 
 
 @query
@@ -361,18 +369,18 @@ def _listed(df: DataFrame) -> DataFrame:
 
 @query
 def venue_conflicts(spark, sf):
-    rows = conflicts.venue_conflicts(ce(spark, sf, "id", "title", "date", "time", "location"), AS_OF)
+    rows = conflicts.venue_conflicts(ce(spark, sf, "id", "title", "date", "time", "location", since=AS_OF), AS_OF)
     return joined(_listed(rows), "alternative_slots")
 
 
 @query
 def building_conflicts(spark, sf):
-    return _listed(conflicts.building_conflicts(ce(spark, sf, "id", "title", "date", "time", "location"), AS_OF))
+    return _listed(conflicts.building_conflicts(ce(spark, sf, "id", "title", "date", "time", "location", since=AS_OF), AS_OF))
 
 
 @query
 def recurring_conflicts(spark, sf):
-    return conflicts.recurring_conflicts(ce(spark, sf, "id", "title", "date", "time", "location"), AS_OF)
+    return conflicts.recurring_conflicts(ce(spark, sf, "id", "title", "date", "time", "location", since=AS_OF), AS_OF)
 
 
 @query
@@ -380,13 +388,18 @@ def conflict_summary(spark, sf):
     return conflicts.conflict_summary(ce(spark, sf, "id", "title", "date", "time", "location"), AS_OF)
 
 
+@query
+def event_conflicts(spark, sf):
+    return conflicts.event_conflicts(ce(spark, sf, "id", "date", "time", "location", since=AS_OF), AS_OF)
+
+
 @query
 def conflict_lines(spark, sf):
     return conflicts.conflict_lines(ce(spark, sf, "id", "title", "date", "time", "location"), AS_OF)
 
 
 def _booked(spark: SparkSession, sf: str) -> DataFrame:
-    return intervals.with_interval(filters.upcoming(ce(spark, sf, "id", "title", "date", "time", "location"), AS_OF))
+    return intervals.with_interval(filters.upcoming(ce(spark, sf, "id", "title", "date", "time", "location", since=AS_OF), AS_OF))
 
 
 @query
@@ -411,7 +424,7 @@ def free_slots(spark, sf):
 
 
 def _recs(spark: SparkSession, sf: str) -> DataFrame:
-    return recommend.recommendations(ce(spark, sf, "id", "title", "date", "time", "location"), AS_OF)
+    return recommend.recommendations(ce(spark, sf, "id", "title", "date", "time", "location", since=AS_OF), AS_OF)
 
 
 @query
@@ -475,6 +488,14 @@ def tags(spark, sf):
     return enhance.tags_of(enhance.enhance(ce(spark, sf, "id", "title", "description")))
 
 
+@query
+def replace_tags(spark, sf):
+    """One tag stored for every event; the tags of upcoming events are replaced."""
+    stored = ce(spark, sf, "id").select(F.col("id").alias("event_id"), F.lit("stored").alias("tag"))
+    fresh = filters.upcoming(ce(spark, sf, "id", "title", "description", "date", since=AS_OF), AS_OF)
+    return merge.replace_tags(stored, enhance.tags_of(enhance.enhance(fresh)))
+
+
 @query
 def missing_details(spark, sf):
     rows = ce(spark, sf, "id", "description")
@@ -629,6 +650,10 @@ def ical_vevents(spark, sf):
     return _entries(spark, sf)
 
 
+def _first_upcoming(spark: SparkSession, sf: str) -> int:
+    return filters.upcoming(ce(spark, sf, "id", "date", since=AS_OF), AS_OF).agg(F.min("id")).head()[0]
+
+
 @query
 def ical_single(spark, sf):
-    return _entries(spark, sf, event_ids=[777])
+    return _entries(spark, sf, event_ids=[_first_upcoming(spark, sf)])

@@ -18,7 +18,7 @@ DIRTY = """SELECT id,
     WHEN id % 38 = 0 THEN '12 am' WHEN id % 39 = 1 THEN ' 9:5 ' ELSE time END AS time,
   CASE WHEN id % 9 = 0 THEN '   ' WHEN id % 41 = 0 THEN repeat('Room 1  ', 40) ELSE location END AS location,
   CASE WHEN id % 17 = 0 THEN substr(link, 9) WHEN id % 61 = 0 THEN '  ' || link || ' ' ELSE link END AS link,
-  CASE WHEN id % 43 = 0 THEN repeat(description, 90) ELSE description END AS description
+  CASE WHEN id % 43 = 0 THEN repeat(description, 3) ELSE description END AS description
 FROM {ce}"""
 
 # The same listing seen again: most links changed, some titles with a slip or another case.
@@ -26,7 +26,7 @@ RELISTED = """SELECT id,
   CASE WHEN id % 4 = 1 THEN title || '!' WHEN id % 4 = 2 THEN substr(title, 1, 3) || 'x' || substr(title, 5)
     WHEN id % 16 = 3 THEN upper(title) ELSE title END AS title,
   description, date, time, location,
-  CASE WHEN id % 5 = 0 THEN link ELSE link || '?from=feed' END AS link
+  CASE WHEN id % 83 = 0 THEN NULL WHEN id % 5 = 0 THEN link ELSE link || '?from=feed' END AS link
 FROM {ce}"""
 
 # Stored rows beside which a second table is kept up to date.

@@ -22,25 +22,15 @@ def top_locations(events: DataFrame, limit: int = 5) -> DataFrame:
 def weekday_distribution(events: DataFrame) -> DataFrame:
     """Sunday first; rows without a valid date form a NULL bucket."""
     day = lenient_date(F.col("date"))
-    counts = events.groupBy((F.dayofweek(day) - 1).alias("day_number")).agg(n_rows().alias("count"))
-    names = F.array(*[F.lit(d) for d in "Sunday Monday Tuesday Wednesday Thursday Friday Saturday".split()])
-    named = counts.withColumn("day_of_week", F.get(names, F.col("day_number")))
-    return named.orderBy(F.asc_nulls_first("day_number")).select("day_of_week", "count")
+    counts = events.groupBy((F.dayofweek(day) - 1).alias("day_number"), F.date_format(day, "EEEE").alias("day_of_week"))
+    return counts.agg(n_rows().alias("count")).orderBy(F.asc_nulls_first("day_number")).select("day_of_week", "count")
 
 
 def month_distribution(events: DataFrame, year: int) -> DataFrame:
     day = lenient_date(F.col("date"))
     in_year = events.filter(F.col("date").startswith(str(year)) & day.isNotNull())
-    counts = in_year.groupBy(F.month(day).alias("month_number")).agg(n_rows().alias("count"))
-    names = F.array(
-        *[
-            F.lit(m)
-            for m in (
-                "January February March April May June July August September October November December"
-            ).split()
-        ]
-    )
-    return counts.orderBy("month_number").select(F.get(names, F.col("month_number") - 1).alias("month"), "count")
+    counts = in_year.groupBy(F.month(day).alias("month_number"), F.date_format(day, "MMMM").alias("month"))
+    return counts.agg(n_rows().alias("count")).orderBy("month_number").select("month", "count")
 
 
 def time_specification(events: DataFrame) -> DataFrame:

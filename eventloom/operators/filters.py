@@ -64,6 +64,11 @@ def with_content(events: DataFrame, content: DataFrame, *columns: str) -> DataFr
     return events.join(picked, "id", "left")
 
 
+def first_rows(events: DataFrame, as_of: str, limit: int) -> DataFrame:
+    """The next ``limit`` events by date and id."""
+    return upcoming(events, as_of).orderBy("date", "id").limit(limit)
+
+
 def list_events(
     events: DataFrame,
     content: DataFrame,
@@ -74,15 +79,16 @@ def list_events(
     date_from: str | None = None,
     date_to: str | None = None,
 ) -> DataFrame:
-    """Listing by date: id, title, date, type, score. ``limit=None`` lists all."""
+    """Listing by date: id, title, date, type, score. ``limit=None`` lists all.
+
+    ``content`` is a stored table, or computed for the events of ``first_rows`` alone.
+    """
     if location:
         events = text_filters(events, location=location)
     rows = date_range(events, as_of, date_from, date_to, "listing").select("id", "title", "date")
     if limit and not event_type:
-        # The content cannot change which rows are listed: cut first, then look up the content of those rows only.
+        # The content cannot change which rows are listed.
         rows = rows.orderBy("date", "id").limit(limit)
-        listed = F.broadcast(rows.select(F.col("id").alias("event_id")))
-        content = content.join(listed, "event_id", "left_semi")
     rows = text_filters(with_content(rows, content, "event_type", "seo_score"), event_type)
     rows = rows.withColumn("seo_score", F.coalesce("seo_score", F.lit(0))).orderBy("date", "id")
     return rows.limit(limit) if limit else rows

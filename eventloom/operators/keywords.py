@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import let
+from ..session import cut_lineage
 from ..vocab import STOP_WORDS
 
 WORD = r"[\p{L}\p{N}_]{2,}"
@@ -36,7 +37,8 @@ def key_terms(
     The join on the term may meet very common terms; its right side has one row per term, so the adaptive
     planner can split the left side.
     """
-    tf = texts.select(F.col(id_col).alias("id"), F.inline(phrase_counts(text_col, stop_words)))
+    # Stored, so that each text is read and cut into terms once; both counts below read the table.
+    tf = cut_lineage(texts.select(F.col(id_col).alias("id"), F.inline(phrase_counts(text_col, stop_words))))
     df = tf.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
     n = texts.agg(F.count(F.lit(1)).alias("n")).scalar()
     idf = F.log((n + 1) / (F.col("df") + 1)) + 1

@@ -65,6 +65,7 @@ def detect_conflicts(events: DataFrame, as_of: str) -> dict[str, DataFrame]:
         "venue": conflicts.venue_conflicts(events, as_of),
         "building": conflicts.building_conflicts(events, as_of),
         "recurring": conflicts.recurring_conflicts(events, as_of),
+        "events": conflicts.event_conflicts(events, as_of),
         "summary": conflicts.conflict_summary(events, as_of),
     }
 

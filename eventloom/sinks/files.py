@@ -58,7 +58,7 @@ def write_calendars(
     if entries.isEmpty():
         return 0
     blocks = vevent_text(entries, stamp if stamp is not None else F.current_timestamp())
-    placed = blocks.coalesce(1) if single_file else blocks.repartitionByRange("date", "time", "id")
+    placed = blocks.repartition(1) if single_file else blocks.repartitionByRange("date", "time", "id")
     # Counted after the range partitioning, whose sampling pass reads the rows once more.
     counted, seen = _counted(placed)
     header, footer = calendar_header(name), "END:VCALENDAR\r"

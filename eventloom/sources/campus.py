@@ -14,29 +14,35 @@ KIND_TITLES = {
 TEXT_COLUMNS = {"title", "description"}
 
 
-def campus_events(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
+def campus_events(spark: SparkSession, sf_dir: str, *columns: str, since: str | None = None) -> DataFrame:
     """Events view over ``events`` and ``documents``.
 
-    ``columns`` limits the output; the documents side is read only when a text column is asked for
-    (``doc_id`` is unique, so leaving the left join out changes no row).
+    ``columns`` limits the output; the documents side is read only when a text column is asked for (event n has document n modulo
+    the number of documents, so leaving the left join out changes no row). ``since`` is a date before which the caller
+    wants no rows; it reaches the scan.
     """
     wanted = columns or ("id", "title", "description", "date", "time", "location", "link")
     events = spark.read.parquet(f"{sf_dir}/events.parquet").select("event_id", "ts", "user_id", "event_type")
+    if since:
+        events = events.filter(F.col("ts") >= F.lit(since).cast(events.schema["ts"].dataType))
     needs_text = TEXT_COLUMNS & set(wanted)
     if needs_text:
-        # The view uses no more of a document than these characters, so only they are shuffled.
-        documents = spark.read.parquet(f"{sf_dir}/documents.parquet").select(
-            F.col("doc_id").alias("user_id"), F.substring("text", 1, 90).alias("opening")
-        )
-        events = events.join(documents, "user_id", "left")
+        documents = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
+        n = documents.agg(F.count(F.lit(1)).alias("n")).scalar()
+        # The tables are single files; what is done with the texts should not be left to one task.
+        events = events.repartition(spark.sparkContext.defaultParallelism)
+        events = events.join(documents, F.col("event_id") % n == F.col("doc_id"), "left")
     id_, user = F.col("event_id"), F.col("user_id")
-    opening = F.col("opening") if needs_text else F.lit(None).cast("string")
-    base_title = F.lit("Basketball Game")
-    for kind, title in KIND_TITLES.items():
-        base_title = F.when(F.col("event_type") == kind, F.lit(title)).otherwise(base_title)
-    title = F.concat(
-        base_title,
-        F.when(id_ % 3 == 0, F.lit("")).otherwise(F.concat(F.lit(" "), F.substring(opening, 1, 12))),
+    text = F.col("text") if needs_text else F.lit(None).cast("string")
+    kind = F.lit("Basketball Game")
+    for name, title in KIND_TITLES.items():
+        kind = F.when(F.col("event_type") == name, F.lit(title)).otherwise(kind)
+    word = lambda place: F.split_part(text, F.lit(" "), place.cast("int"))
+    title = (
+        F.when(id_ % 97 == 0, F.lit("Gala"))
+        .when(id_ % 101 == 0, F.concat(F.repeat(F.concat(kind, F.lit(" and ")), F.lit(6)), F.lit("more")))
+        .when(id_ % 3 == 0, kind)
+        .otherwise(F.concat(kind, F.lit(" "), word(id_ % 5 + 1), F.lit(" "), word(id_ % 7 + 2)))
     )
     description = F.when(
         id_ % 6 != 0,
@@ -48,7 +54,7 @@ def campus_events(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
             F.lit(":30 PM in Room "),
             user.cast("string"),
             F.when(id_ % 4 == 0, F.lit(" free, rsvp or email us. ")).otherwise(F.lit(". ")),
-            F.substr(opening, F.lit(1), (id_ % 90).cast("int")),
+            text,
         ),
     )
     clock = F.concat(

@@ -11,7 +11,7 @@ SF = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not Path(SF).exists(), reason="no test tables")
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", sorted(set(queries()) - {n for n in queries() if n == "pipeline" or n.startswith("op")}))
 def test_query(spark, name):
     df = queries()[name](spark, SF)
     if name in oracle_sql():
@@ -21,9 +21,13 @@ def test_query(spark, name):
         assert df.count() > 0
 
 
+#: Queries of the training-data subpackage: tests/llm holds them against brute force.
+WITHOUT_SQL = {name for name in queries() if name == "pipeline" or name.startswith("op")} - set(oracle_sql())
+
+
 def test_every_check_has_a_query():
     assert set(oracle_sql()) <= set(queries())
-    assert set(queries()) - set(oracle_sql()) == {"ingest_dedup", "ingest_summary"}
+    assert set(queries()) - set(oracle_sql()) == {"ingest_summary", *WITHOUT_SQL}
 
 
 def test_entry(spark):
