@@ -464,20 +464,43 @@ check(
     f"SELECT CAST(sum(n - 1) AS BIGINT) AS duplicates FROM (SELECT count(*) AS n FROM ce GROUP BY {_KEEP})",
 )
 
-# One by one in order of the id, as rounds over the graph of duplicates: state 1 is accepted, 2 refused. Each round carries all rows.
-VIEWS["dup_edge"] = f"""SELECT a.id AS a, b.id AS b FROM ce a JOIN ce b ON a.link = b.link AND a.id < b.id
-  UNION SELECT a.id, b.id FROM ce a JOIN ce b ON a.date = b.date AND a.id < b.id JOIN near n
-    ON n.date = a.date AND n.t = {_bytes('a.title')} AND n.o = {_bytes('b.title')}"""
-VIEWS["near"] = f"""SELECT x.date, x.t, y.t AS o FROM old_t x JOIN old_t y ON x.date = y.date
-  AND (x.t = y.t OR {_RATIO.format(a="x.t", b="y.t")} > {vocab.SIMILARITY_THRESHOLD})"""
-SQL["ingest_dedup"] = f"""WITH RECURSIVE ce AS ({VIEWS["ce"]}), old_t AS ({VIEWS["old_t"]}), near AS MATERIALIZED ({VIEWS["near"]}),
-dup_edge AS MATERIALIZED ({VIEWS["dup_edge"]}),
-rounds AS (SELECT 0 AS r, id, 0 AS s FROM ce
+def _in_order(views: list[str], rows: str, body: str) -> str:
+    """SQL over ``done``: the ids that a one-by-one ingest of ``rows`` (id, title, date, link) accepts, in order of the id.
+
+    Rounds over the graph of duplicates: state 1 is accepted, 2 refused. Each round carries all rows.
+    """
+    similar = _RATIO.format(a="x.t", b="y.t")
+    return f"""WITH RECURSIVE {", ".join(f"{v} AS ({VIEWS[v]})" for v in views)}, arriving AS MATERIALIZED ({rows}),
+titles AS (SELECT DISTINCT date, {_bytes('title')} AS t FROM arriving WHERE title IS NOT NULL AND date IS NOT NULL),
+near AS MATERIALIZED (SELECT x.date, x.t, y.t AS o FROM titles x JOIN titles y ON x.date = y.date
+  AND (x.t = y.t OR {similar} > {vocab.SIMILARITY_THRESHOLD})),
+edge AS MATERIALIZED (SELECT a.id AS a, b.id AS b FROM arriving a JOIN arriving b ON a.link = b.link AND a.id < b.id
+  UNION SELECT a.id, b.id FROM arriving a JOIN arriving b ON a.date = b.date AND a.id < b.id
+    JOIN near n ON n.date = a.date AND n.t = {_bytes('a.title')} AND n.o = {_bytes('b.title')}),
+rounds AS (SELECT 0 AS r, id, 0 AS s FROM arriving
   UNION ALL SELECT now.r + 1, now.id, CASE WHEN now.s > 0 THEN now.s WHEN hit.refused THEN 2 WHEN hit.waits THEN 0 ELSE 1 END
   FROM rounds now LEFT JOIN (SELECT d.b, bool_or(o.s = 1) AS refused, bool_or(o.s = 0) AS waits
-    FROM dup_edge d JOIN rounds o ON o.id = d.a GROUP BY d.b) hit ON hit.b = now.id
-  WHERE EXISTS (SELECT 1 FROM rounds WHERE s = 0))
-SELECT id, title, date FROM ce WHERE id IN (SELECT id FROM rounds WHERE s = 1 AND r = (SELECT max(r) FROM rounds))"""
+    FROM edge d JOIN rounds o ON o.id = d.a GROUP BY d.b) hit ON hit.b = now.id
+  WHERE EXISTS (SELECT 1 FROM rounds WHERE s = 0)),
+done AS (SELECT id FROM rounds WHERE s = 1 AND r = (SELECT max(r) FROM rounds))
+{body}"""
+
+
+SQL["ingest_dedup"] = _in_order(
+    ["ce"], "SELECT id, title, date, link FROM ce", "SELECT id, title, date FROM ce WHERE id IN (SELECT id FROM done)"
+)
+_STORED_RATIO = _RATIO.format(a="n.t", b="o.t")
+SQL["ingest_summary"] = _in_order(
+    [*VALID, "stored"],
+    f"""WITH good AS MATERIALIZED (SELECT id, title, date, link FROM v4 WHERE len(errors) = 0),
+    n AS (SELECT DISTINCT date, {_bytes('title')} AS t FROM good), o AS (SELECT DISTINCT date, {_bytes('title')} AS t FROM stored),
+    known AS (SELECT DISTINCT n.date, n.t FROM n JOIN o ON n.date = o.date AND (n.t = o.t OR {_STORED_RATIO} > {vocab.SIMILARITY_THRESHOLD}))
+  SELECT * FROM good g WHERE link NOT IN (SELECT link FROM stored)
+    AND NOT EXISTS (SELECT 1 FROM known k WHERE k.date = g.date AND k.t = {_bytes('g.title')})""",
+    """SELECT count(*) AS total, count(*) FILTER (len(errors) = 0) AS valid, count(*) FILTER (len(errors) > 0) AS invalid,
+  (SELECT count(*) FROM done) AS added, count(*) FILTER (len(errors) = 0) - (SELECT count(*) FROM done) AS skipped,
+  CAST(0 AS BIGINT) AS updated FROM v4""",
+)
 
 _STAMP = "'%Y-%m-%d %H:%M:%S.%f'"
 check(
