@@ -2,8 +2,8 @@
 
 Suffix sorting with a cover of sampled places. A cover has to hold, for any two equal strings of the given length, a sampled place at the
 same offset in both. A difference cover chosen by position does, at one place in ten or so; here the cover is chosen by content
-(places whose next GRAM bytes hash lowest among all in some window), which needs one place in some two hundred and only its
-own text. Then, as in the difference-cover algorithm:
+(places whose next bytes, half a string's length, hash lowest among all in some window), which needs one place in a hundred and
+only its own text. Then, as in the difference-cover algorithm:
 
 1. sampled prefixes are named: the name of a place is the hash of the bytes that all windows up to the next sampled place need;
 2. names are sorted, and equal neighbours say that every window between these two places is repeated;
@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import materialize, mix, partitions, pieces, utf8
-from .windows import GRAM, gram_hashes, sliding
+from .windows import gram_hashes, sliding
 
 LENGTH = 400
 BLOCK_BYTES, RANGE_BYTES = 8_000_000, 16_000_000
@@ -38,8 +38,9 @@ class _Text:
 
     def __init__(self, data: np.ndarray, length: int):
         self.data, self.length = data, length
-        width = length - GRAM + 1
-        grams = mix(gram_hashes(data, GRAM))
+        gram = length // 2
+        width = length - gram + 1
+        grams = mix(gram_hashes(data, gram))
         #: For each window the lowest gram in it, by which equal windows know each other.
         self.least = sliding(grams, width, True)
         edge = np.zeros(width - 1, np.uint64)
@@ -97,7 +98,7 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, doc_id: str = "doc_id"
     the other bytes. Overlaps count, matches never cross texts, and all is judged on the input. Null and empty texts have nothing to
     remove. Every row is a text of its own, also where ids are null or repeat. Other columns are not read.
     """
-    assert length > GRAM
+    assert length > 1
     spark = docs.sparkSession
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
     rows = rows.withColumn("row", F.xxhash64("doc_id", "text"))

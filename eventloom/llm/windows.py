@@ -6,7 +6,6 @@ import numpy as np
 
 from .common import mix
 
-GRAM = 32
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 NEVER = np.uint64(2**64 - 1)
 
