@@ -75,6 +75,17 @@ def test_empty_table_and_one_long_text(spark, make_docs):
     assert (found[1].n_removed, found[1].n_spans) == (500, 1) and found[2].n_removed == 500
 
 
+def test_a_text_longer_than_a_segment(spark, make_docs):
+    rng = random.Random(4)
+    body = "".join(rng.choice("abcdefgh") for _ in range(repeats.SEGMENT + 300_000))
+    at = repeats.SEGMENT
+    rows = [(1, body), (2, "zz" + body[at - 700 : at + 150] + "zz"), (3, body[at - 100 : at + 900]), (4, body[:450] + "zz" + body[-420:])]
+    found = {r.doc_id: r for r in repeats.remove_repeats(make_docs(*rows)).collect()}
+    assert (found[1].n_removed, found[1].n_spans) == (1600 + 450 + 420, 3)
+    assert [found[i].n_removed for i in (2, 3, 4)] == [850, 1000, 870]
+    assert found[4].kept == b"zz"
+
+
 def test_given_documents(spark):
     sf = "/root/testdata/sf0.001"
     rows = [(r.doc_id, r.text) for r in spark.read.parquet(f"{sf}/documents.parquet").collect()]
