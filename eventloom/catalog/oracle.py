@@ -681,6 +681,20 @@ check(
   UNION ALL SELECT 'event_tags.unique(event_id,tag)', count(*) - count(DISTINCT (event_id, tag)) FROM et
   UNION ALL SELECT 'event_tags.foreign(event_id)', count(*) FROM et WHERE event_id NOT IN (SELECT id FROM up)""",
 )
+check(
+    "missing_tables",
+    ["ce", "up"],
+    """SELECT 'events.unique(id)' AS "constraint", count(id) - count(DISTINCT id) AS violations FROM up
+  UNION ALL SELECT 'events.not_null(title)', count(*) - count(title) FROM up
+  UNION ALL SELECT 'events.unique(link)', count(link) - count(DISTINCT link) FROM up
+  UNION ALL SELECT 'enhanced_content.present', 1 UNION ALL SELECT 'event_tags.present', 1""",
+)
+check(
+    "purge_bridges",
+    ["ce", "up"],
+    f"""SELECT id AS event_id, id % 5 AS category_id
+  FROM (SELECT *, row_number() OVER (PARTITION BY {_KEEP} ORDER BY id) AS n FROM up) WHERE n = 1""",
+)
 check("default_content", ["ce"], f"SELECT id AS event_id, CAST(0 AS BIGINT) AS seo_score FROM ce WHERE date >= '{HISTORY_BEFORE}'")
 check(
     "upsert_events",

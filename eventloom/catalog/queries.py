@@ -14,7 +14,7 @@ from ..operators import analytics as a
 from ..operators import conflicts, dedup, enhance, export, filters, integrity, intervals, merge, slots
 from ..operators.keywords import key_terms
 from ..operators.validation import validate, validation_stats
-from ..plans import recommend
+from ..plans import cleanup, recommend
 from ..plans.ingest import ingest_batch
 from ..session import cut_lineage
 from ..sources.campus import campus_events
@@ -600,6 +600,20 @@ def constraint_report(spark, sf):
     return integrity.constraint_report({"events": events, **children})
 
 
+@query
+def missing_tables(spark, sf):
+    """Only events are stored: the tables that have to stand beside them are reported."""
+    return integrity.constraint_report({"events": filters.upcoming(ce(spark, sf, "id", "title", "link", "date"), AS_OF)})
+
+
+@query
+def purge_bridges(spark, sf):
+    """Category links stored for all events, after the purge."""
+    events = ce(spark, sf, "id", "title", "date", "time")
+    links = ce(spark, sf, "id").select(F.col("id").alias("event_id"), (F.col("id") % 5).alias("category_id"))
+    return cleanup.purge({"events": events, "event_categories": links}, AS_OF)["event_categories"]
+
+
 @query
 def default_content(spark, sf):
     stored = filters.past_rows(ce(spark, sf, "id", "date"), HISTORY_BEFORE).select(F.col("id").alias("event_id"))

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from ..operators.export import vevent_text, with_headers
 from ..schema import TABLES
-from ..sources.tables import load_tables, read_latest, write_version
+from ..sources.tables import append_rows, load_tables, read_latest, write_version
 
 
 def _counted(df: DataFrame) -> tuple[DataFrame, Observation]:
@@ -79,10 +79,10 @@ def write_calendars(
 
 
 def write_rejects(rejects: DataFrame, path: str) -> bool:
-    """Quarantined rows as JSON lines; no folder when there are none."""
+    """Quarantined rows of one run as JSON lines, in place of those it wrote before; no folder when there are none."""
     if rejects.isEmpty():
         return False
-    rejects.write.mode("append").json(path)
+    rejects.write.mode("overwrite").json(path)
     return True
 
 
@@ -99,7 +99,7 @@ def append_history(spark: SparkSession, path: str, events_scraped: int, stamp: C
     )
     history = read_latest(spark, path, TABLES["scraping_history"])
     next_id = history.agg(F.coalesce(F.max("id"), F.lit(0)) + 1).scalar()
-    write_version(history.unionByName(run.withColumn("id", next_id)), path)
+    append_rows(run.withColumn("id", next_id).select(*history.columns), path)
 
 
 def snapshot(spark: SparkSession, root: str, name: str) -> str:

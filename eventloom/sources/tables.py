@@ -1,7 +1,8 @@
-"""Stored tables: one parquet folder per table, each write in a new version folder.
+"""Stored tables: folders of parquet under one path per table, each write in a new numbered folder.
 
-A version counts once its ``_SUCCESS`` file is there, so a reader never sees a
-half-written table and no job overwrites a path it is reading.
+``v=N`` holds a whole table, ``a=N`` rows appended to it: a table is its newest ``v`` and the ``a`` folders numbered after that.
+A folder counts once its ``_SUCCESS`` file is there, so a reader never sees a half-written table and no job overwrites a path
+it is reading. A writer claims its number first; appends may run side by side, a rewrite expects no other writer.
 """
 
 from __future__ import annotations
@@ -17,29 +18,50 @@ def _filesystem(spark: SparkSession, path: str):
     return folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), jvm.org.apache.hadoop.fs.Path
 
 
-def _versions(spark: SparkSession, path: str) -> list[int]:
+def _folders(spark: SparkSession, path: str) -> list[tuple[int, str]]:
+    """Numbers and names of the table's claims and folders, finished or not."""
     fs, path_of = _filesystem(spark, path)
     if not fs.exists(path_of(path)):
         return []
     names = [status.getPath().getName() for status in fs.listStatus(path_of(path))]
-    numbers = [int(name[2:]) for name in names if name.startswith("v=") and name[2:].isdigit()]
-    return sorted(n for n in numbers if fs.exists(path_of(f"{path}/v={n}/_SUCCESS")))
+    return sorted((int(n[2:]), n) for n in names if n[:2] in ("v=", "a=", "_n") and n[2:].isdigit())
 
 
-def write_version(df: DataFrame, path: str) -> int:
-    """Writes ``df`` as the next version of the table at ``path``."""
-    done = _versions(df.sparkSession, path)
-    number = (done[-1] + 1) if done else 1
-    df.write.mode("overwrite").parquet(f"{path}/v={number}")
+def _current(spark: SparkSession, path: str) -> list[str]:
+    """The finished folders that make up the table."""
+    fs, path_of = _filesystem(spark, path)
+    done = [n for _, n in _folders(spark, path) if n[0] != "_" and fs.exists(path_of(f"{path}/{n}/_SUCCESS"))]
+    whole = [i for i, n in enumerate(done) if n[0] == "v"]
+    return done[whole[-1] if whole else 0 :]
+
+
+def _write(df: DataFrame, path: str, kind: str) -> int:
+    spark = df.sparkSession
+    fs, path_of = _filesystem(spark, path)
+    taken = _folders(spark, path)
+    number = taken[-1][0] + 1 if taken else 1
+    while not fs.createNewFile(path_of(f"{path}/_n{number}")):
+        number += 1
+    df.write.parquet(f"{path}/{kind}={number}")
     return number
 
 
+def write_version(df: DataFrame, path: str) -> int:
+    """Writes ``df`` as the whole table at ``path``."""
+    return _write(df, path, "v")
+
+
+def append_rows(df: DataFrame, path: str) -> int:
+    """Adds ``df`` to the table at ``path``; files already there stay as they are."""
+    return _write(df, path, "a")
+
+
 def read_latest(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    """Newest complete version, or an empty frame of the schema."""
-    done = _versions(spark, path)
-    if not done:
+    """The finished content of the table, or an empty frame of the schema."""
+    current = _current(spark, path)
+    if not current:
         return spark.createDataFrame([], schema)
-    return spark.read.schema(schema).parquet(f"{path}/v={done[-1]}")
+    return spark.read.schema(schema).parquet(*[f"{path}/{name}" for name in current])
 
 
 def load_tables(spark: SparkSession, root: str, register: bool = True) -> dict[str, DataFrame]:
@@ -52,7 +74,7 @@ def load_tables(spark: SparkSession, root: str, register: bool = True) -> dict[s
 
 
 def existing_tables(spark: SparkSession, root: str) -> list[str]:
-    return [name for name in TABLES if _versions(spark, f"{root}/{name}")]
+    return [name for name in TABLES if _current(spark, f"{root}/{name}")]
 
 
 def run_sql(spark: SparkSession, query: str, **params) -> DataFrame:

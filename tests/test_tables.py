@@ -13,7 +13,7 @@ from eventloom.plans.ingest import run_ingest
 from eventloom.schema import EVENTS, TABLES
 from eventloom.sinks import files
 from eventloom.sources.pages import LISTING_BLOCKS, extract_listing_rows
-from eventloom.sources.tables import load_tables, read_latest, run_sql, write_version
+from eventloom.sources.tables import append_rows, load_tables, read_latest, run_sql, write_version
 
 AS_OF = "2025-01-01"
 STAMP = "2025-01-01 12:00:00"
@@ -115,6 +115,30 @@ def stored(make_events):
     return sample(make_events).withColumns({"created_at": stamp(), "last_updated": stamp()})
 
 
+def test_appends_leave_files_alone(spark, make_events, tmp_path):
+    root, rows = str(tmp_path), stored(make_events)
+    path, parts = f"{root}/events", lambda: {p: os.path.getmtime(p) for p in glob.glob(f"{root}/events/*/part-*")}
+    assert append_rows(rows.filter("id <= 2"), path) == 1
+    before = parts()
+    assert append_rows(rows.filter("id > 2"), path) == 2
+    assert before and before.items() < parts().items()
+    assert load_tables(spark, root)["events"].count() == 5
+    assert write_version(rows.filter("id = 1"), path) == 3
+    append_rows(rows.filter("id = 2"), path)
+    (tmp_path / "events" / "a=9").mkdir()
+    assert sorted(r.id for r in load_tables(spark, root)["events"].collect()) == [1, 2]
+    assert append_rows(rows.filter("id = 3"), path) == 10
+
+
+def test_a_repeated_run_replaces_its_rejects(spark, tmp_path):
+    rows = spark.createDataFrame(
+        [(1, "Robot Workshop", "2025-03-01"), (2, "", "2025-03-01")], "position BIGINT, title STRING, date STRING"
+    ).selectExpr("*", "CAST(NULL AS STRING) description", "'10:00' time", "'Hall' location", "concat('https://a.example.edu/', position) link")
+    added = [run_ingest(spark, str(tmp_path), rows, stamp=stamp(), run="one")["added"] for _ in range(2)]
+    assert added == [1, 0] and spark.read.json(str(tmp_path / "rejects")).count() == 1
+    assert load_tables(spark, str(tmp_path))["scraping_history"].count() == 2
+
+
 def test_snapshot_and_restore(spark, make_events, tmp_path):
     root = str(tmp_path)
     write_version(stored(make_events), f"{root}/events")
