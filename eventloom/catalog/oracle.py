@@ -641,6 +641,20 @@ check(
     f"""SELECT id, coalesce(t.slugs, '') AS tag_slugs, {_slug('title')} AS title_slug FROM ce LEFT JOIN (
     SELECT event_id, string_agg({_slug('tag')}, ',' ORDER BY tag) AS slugs FROM et GROUP BY event_id) t ON event_id = id""",
 )
+check(
+    "feature_bundle",
+    [*CONTENT, "et"],
+    f"""SELECT id, array_to_string({_compact(f"{_TITLE_LENGTH}, CASE WHEN {_NO_DIGIT} THEN {text(vocab.TITLE_NO_NUMBER)} END")}, ' | ')
+    AS title_suggestions,
+  array_to_string({_compact(f"CASE WHEN length(dsc) < 100 THEN {text(vocab.DESCRIPTION_SHORT)} END, {_ELEMENTS}")}, ' | ')
+    AS description_suggestions,
+  enhanced_description, coalesce(slugs, '') AS tags, keywords,
+  coalesce({text(vocab.KEYWORD_HINT)} || replace(keywords, ' | ', ', '), '') AS general_suggestions
+  FROM f1 JOIN ec ON ec.event_id = id
+  LEFT JOIN (SELECT event_id, string_agg({_slug('tag')}, ' | ' ORDER BY tag) AS slugs FROM et GROUP BY 1) t ON t.event_id = id
+  LEFT JOIN (SELECT id AS doc, string_agg(term, ' | ' ORDER BY rank) AS keywords FROM ({SQL["doc_keywords"]}) GROUP BY 1) k
+    ON k.doc = f1.id % (SELECT count(*) FROM documents)""",
+)
 
 check("orphans", CONTENT, f"SELECT event_id, event_type FROM ec WHERE event_id NOT IN (SELECT id FROM ce WHERE date >= '{AS_OF}')")
 check(

@@ -540,6 +540,21 @@ def doc_keywords(spark, sf):
     return ints_as_long(key_terms(documents, "doc_id", "text")).select("id", "rank", "term", "tf", "df")
 
 
+@query
+def feature_bundle(spark, sf):
+    """Everything known about an event's text, with the key terms of its document; lists joined."""
+    documents = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text")
+    terms = key_terms(documents, "doc_id", "text").groupBy(F.col("id").alias("doc_id"))
+    ordered = F.array_sort(F.collect_list(F.struct("rank", "term")))["term"]
+    n = documents.agg(F.count(F.lit(1)).alias("n")).scalar()
+    owner = ce(spark, sf, "id").select("id", (F.col("id") % n).alias("doc_id"))
+    keywords = owner.join(terms.agg(ordered.alias("keywords")), "doc_id").select("id", "keywords")
+    bundle = enhance.feature_bundle(ce(spark, sf, "id", "title", "description"), keywords)
+    for column in ("title_suggestions", "description_suggestions", "general_suggestions", "keywords", "tags"):
+        bundle = joined(bundle, column)
+    return bundle
+
+
 @query
 def tag_slugs(spark, sf):
     """Slugs of the tags, and of the title."""
