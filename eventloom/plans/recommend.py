@@ -10,6 +10,7 @@ from ..functions.labels import building_by_comma, building_by_comma_or_dash, ven
 from ..functions.text import filled, title_words
 from ..operators.filters import upcoming
 from ..operators.intervals import overlap_degrees, with_interval
+from ..operators.pairing import spread_left_join
 from ..operators.slots import building_booking_counts, free_slots, stored_booking_counts, venue_booking_counts
 from ..vocab import NO_VENUE_ACTION, PEAK_ACTION, PEAK_DETAILS
 
@@ -70,7 +71,7 @@ def recommendations(events: DataFrame, as_of: str, stamp: Column | None = None)
         .withColumn("asks", F.concat(F.lit("building:"), "building"))
         .drop("building")
     )
-    advised = marked.join(by_venue.unionByName(by_building), ["asks", "date"], "left")
+    advised = spread_left_join(marked, by_venue.unionByName(by_building), ["asks", "date"])
 
     counts_itself = """start_us IS NOT NULL AND (at_venue OR (NOT all_day AND (
         startswith(lower(location), lower(building) || ',') OR startswith(lower(location), lower(building) || ' '))))"""
