@@ -147,7 +147,7 @@ def logistic_weights(features: np.ndarray, toxic: np.ndarray, ridge: float = 1e-
 def fit(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text", toxic: str = "toxic") -> Scorer | None:
     """Fits on documents with a text and a label of 0 or 1; None if a class is missing.
 
-    Of two thirds of the labels as many of either class are counted, COUNT_DOCS at most; FIT_DOCS of a class at most, of the other
+    Of two thirds of the labels COUNT_DOCS of a class at most are counted; FIT_DOCS of a class at most, of the other
     third, give the weights. Both numbers are expected ones: labels are drawn by a hash of their id, before any text is read.
     """
     given = labels.select(F.col(doc_id).alias("id"), F.col(toxic).cast("int").alias("toxic")).filter("id IS NOT NULL AND toxic IN (0, 1)").distinct()
@@ -186,7 +186,7 @@ def fit(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str =
                 names=["before", "word", "left", "toxic", "new_pair", "new_word"],
             )
 
-    sample = part([0, 1], [min(COUNT_DOCS, 2 / 3 * min(sizes.values()))] * 2, 2 / 3).dropDuplicates(["text"])
+    sample = part([0, 1], [COUNT_DOCS] * 2, 2 / 3).dropDuplicates(["text"])
     seen = sample.mapInArrow(count, "before long, word long, left long, toxic int, new_pair long, new_word long")
     by_left = seen.groupBy("toxic", "word", "before", "left").agg(F.sum("new_pair").alias("texts"), F.sum("new_word").alias("words"))
     by_pair = materialize(

@@ -67,6 +67,11 @@ def test_probabilities_sum_to_one():
             assert abs(model.probabilities(np.full(len(every), context, np.uint64), every, c).sum() - 1) < 1e-5
 
 
+def test_all_ordinary_labels_are_counted(spark):
+    docs = spark.createDataFrame([(i, f"only{i}", int(i % 10 == 0)) for i in range(600)], "doc_id BIGINT, text STRING, toxic INT")
+    assert toxicity.fit(docs, docs).model.types[0] > 300
+
+
 def test_held_out(spark):
     sf = "/root/testdata/sf0.1"
     found = op9_toxicity(spark, sf).join(spark.read.parquet(f"{sf}/labels.parquet"), "doc_id").filter("held_out").toPandas()
