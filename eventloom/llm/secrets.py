@@ -40,28 +40,41 @@ ALPHABETS = (
     ("base64", "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/", 0.065),
     ("base64url", "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789-_", 0.065),
 )
+#: For strings of letters only.
+LETTERS = (
+    ("capitals", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", 0.067),
+    ("small", "abcdefghijklmnopqrstuvwxyz", 0.067),
+    ("letters", "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz", 0.065),
+)
+#: A key may stand beside words or paths in one run: it is taken apart at the marks that either base64 lacks, and at all.
+MARKS = (re.compile(r"[^-_]{16,}"), re.compile(r"[^+/]{16,}"), re.compile(r"[^+/_-]{16,}"))
+LEAST_LENGTH = 16
 #: The share of false discoveries allowed, and the least probability that a random source gives such statistics.
 FALSE_DISCOVERIES = 0.05
 LEAST_FIT = 0.003
 #: Bins per unit of -log10 p in which p-values are counted, and the number of bins.
 BINS_PER_UNIT, BINS = 50, 2000
 
-_SETS = [(frozenset(chars), {c: i for i, c in enumerate(chars)}, len(chars), index) for _, chars, index in ALPHABETS]
+_SETS, _LETTER_SETS = (
+    [(frozenset(chars), {c: i for i, c in enumerate(chars)}, len(chars), index) for _, chars, index in alphabets]
+    for alphabets in (ALPHABETS, LETTERS + ALPHABETS)
+)
 
 
 def _upper_tail(z: float) -> float:
     return 0.5 * math.erfc(z / math.sqrt(2))
 
 
-def battery(string: str) -> tuple[float, float] | None:
+def battery(string: str, mixed: bool = True) -> tuple[float, float] | None:
     """Probabilities of a chi-squared this low in ordinary text, and of statistics this far out from a random source.
 
-    None if no encoding fits: strings of letters only or of digits only are words or numbers.
+    None if no encoding fits; with ``mixed``, also for strings without letters or without digits.
     """
     chars = set(string)
-    if not any(c.isdigit() for c in chars) or not any(c.isalpha() for c in chars):
+    digits = any(c.isdigit() for c in chars)
+    if mixed and not (digits and any(c.isalpha() for c in chars)):
         return None
-    for members, places, size, coincidence in _SETS:
+    for members, places, size, coincidence in _SETS if digits else _LETTER_SETS:
         if chars <= members:
             break
     else:
@@ -98,16 +111,26 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
 
 
 def candidates(text: str, base: list[tuple[int, int, int]]) -> Iterator[tuple[int, int, float]]:
-    """Start, end and p-value of strings that fit a random source and touch no span of ``base``."""
+    """Start, end and p-value of strings that fit a random source and touch no span of ``base``, whole runs and parts of them."""
     k = 0
     for m in CANDIDATE.finditer(text):
         while k < len(base) and base[k][2] <= m.start():
             k += 1
-        if any(a < m.end() and b > m.start() for a, _, b in base[k:]):
-            continue
-        found = battery(m[0])
-        if found and found[1] >= LEAST_FIT:
-            yield m.start(), m.end(), found[0]
+        at, free = m.start(), []
+        for a, _, b in base[k:]:
+            if a >= m.end():
+                break
+            free.append((at, a))
+            at = max(at, b)
+        free.append((at, m.end()))
+        for start, end in free:
+            if end - start < LEAST_LENGTH:
+                continue
+            found = {(start, end), *(p.span() for marks in MARKS for p in marks.finditer(text, start, end))}
+            for x, y in sorted(found):
+                tested = battery(text[x:y], mixed=False)
+                if tested and tested[1] >= LEAST_FIT:
+                    yield x, y, tested[0]
 
 
 def _bin(p: float) -> int:
@@ -141,7 +164,13 @@ def spans(text: str | None, least: int) -> list[tuple[int, int, int]]:
     if not text:
         return []
     base = base_spans(text)
-    return sorted([*base, *((a, 3, b) for a, b, p in candidates(text, base) if _bin(p) >= least)])
+    out, last = list(base), 0
+    # A part of a string that is found itself is not reported again.
+    for a, b, _ in sorted(((a, b, p) for a, b, p in candidates(text, base) if _bin(p) >= least), key=lambda c: (c[0], -c[1])):
+        if b > last:
+            out.append((a, 3, b))
+            last = b
+    return sorted(out)
 
 
 def scan(docs: DataFrame, text: str = "text") -> DataFrame:

@@ -68,3 +68,14 @@ def test_redaction(spark, make_docs):
     assert redact(scan(make_docs())).count() == 0
     assert redact(scan(docs)).columns == docs.columns
     assert scan(docs).filter(F.size("secrets") > 0).count() == 1
+
+
+def test_keys_beside_paths_and_letters_only_are_found(spark, make_docs):
+    rng = random.Random(12)
+    draw = lambda chars, n: "".join(rng.choice(chars) for _ in range(n))
+    alnum = string.ascii_letters + string.digits
+    texts = [f"see /my-app/hooks/{draw(alnum, 40)} there" for _ in range(10)] + [f"see {draw(string.ascii_letters, 40)} there" for _ in range(10)]
+    words = ["see the counterrevolutionaries and internationalizations", "state-of-the-art-and-other-well-known-words"]
+    found = [r.n_random for r in digest(scan(make_docs(*enumerate(texts + words)))).orderBy("doc_id").collect()]
+    assert sum(n > 0 for n in found[:10]) >= 9 and sum(n > 0 for n in found[10:20]) >= 9
+    assert found[-2:] == [0, 0]
