@@ -1,10 +1,10 @@
 """Removal of byte strings that occur more than once, over all texts.
 
-Suffix sorting with a cover of sampled places. A cover has to hold, for any two equal strings of the given length, a sampled place at the
+Content-sampled hash grouping in place of a suffix array: no triples, no recursion, no order of suffixes. A cover has to hold, for any two equal strings of the given length, a sampled place at the
 same offset in both. A difference cover chosen by position does, at one place in ten or so; here the cover is chosen by content
 (each window's place is the one whose next bytes, half a window's length, hash lowest in it), which takes one place in a hundred and
 only its own text. Equal windows have the same place at the same offset, so the windows of a place are compared with those of equal
-places only, in bins of neighbouring offsets. As in the difference-cover algorithm:
+places only, in bins of neighbouring offsets:
 
 1. each bin gets two names, for the bytes that all its windows share and for the bytes that any of them covers;
 2. names are sorted and equal neighbours compared: windows whose covered bytes occur twice are all repeated, and
