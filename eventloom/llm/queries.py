@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, chat, decontaminate, langid, lm, packing, repeats, secrets, simhash, toxicity
+from . import ann, chat, decontaminate, langid, lines, lm, packing, repeats, secrets, simhash, toxicity
 from .common import remainder, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -61,6 +61,10 @@ def op10_decontamination(spark: SparkSession, sf: str) -> DataFrame:
     return decontaminate.leaks(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
 
 
+def op12_lines(spark: SparkSession, sf: str) -> DataFrame:
+    return lines.digest(lines.drop_shared_lines(table(spark, sf, "documents")))
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
@@ -74,6 +78,7 @@ QUERIES: dict[str, Query] = {
         op8_langid,
         op9_toxicity,
         op10_decontamination,
+        op12_lines,
     )
 }
 
@@ -84,6 +89,8 @@ def _replaced(column: str) -> str:
     return column
 
 
+_BLANKS = " || ".join(f"chr({ord(c)})" for c in lines.BLANKS)
+
 # A text conflicts if its turn's closing marker is in it, a role of its own if it holds a bracket.
 SQL: dict[str, str] = {
     "op5_chat": f"""
@@ -106,4 +113,16 @@ SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text |
   sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
   CAST(sum(marks + written) + max(CASE WHEN escaped THEN 5 ELSE 3 END) AS BIGINT) AS formatted_chars
 FROM sized GROUP BY conv_id""",
+    "op12_lines": f"""
+WITH texts AS (SELECT row_number() OVER () AS r, doc_id, string_split(coalesce(text, ''), chr(10)) AS split FROM documents),
+lines AS (SELECT r, doc_id, unnest(split) AS line, generate_subscripts(split, 1) AS place FROM texts),
+keyed AS (SELECT *, translate(trim(line, {_BLANKS}), '{lines.UPPER}', '{lines.LOWER}') AS key FROM lines),
+shared AS (
+  SELECT key AS shared_key, max(doc_id) AS last FROM keyed WHERE length(key) >= {lines.LEAST_CHARS} GROUP BY key
+  HAVING count(DISTINCT doc_id) + CAST(bool_or(doc_id IS NULL) AS INT) >= {lines.LEAST_DOCS}),
+marked AS (
+  SELECT keyed.*, shared_key IS NOT NULL AND doc_id IS DISTINCT FROM last AS gone FROM keyed LEFT JOIN shared ON key = shared_key)
+SELECT doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_dropped,
+  sha256(coalesce(string_agg(line, chr(10) ORDER BY place) FILTER (NOT gone), '')) AS kept_sha256
+FROM marked GROUP BY r, doc_id""",
 }
