@@ -43,20 +43,30 @@ def remainder(column: str, by: int) -> Column:
 HOT_KEYS = 1000
 
 
+def _by_heat(right: DataFrame, rows: str) -> tuple[DataFrame, DataFrame]:
+    """Keys of more than a thousandth of the counted rows, which are fewer than a thousand whatever the data, and the others."""
+    right = materialize(right)
+    total = right.agg(F.sum(rows)).head()[0] or 0
+    is_hot = F.col(rows) * HOT_KEYS > total
+    return right.filter(is_hot).drop(rows), right.filter(~is_hot).drop(rows)
+
+
 def lookup(left: DataFrame, right: DataFrame, keys: list[str], rows: str) -> DataFrame:
     """Inner join with ``right``, which holds each key once and in ``rows`` (dropped) how many rows of ``left`` have it.
 
-    Keys of more than a thousandth of these rows, which are fewer than a thousand whatever the data, are sent to all tasks, so
-    no task gets all rows of a hot key; the others meet in a shuffle.
+    Hot keys are sent to all tasks, so no task gets all rows of one; the others meet in a shuffle.
     """
-    right = materialize(right)
-    total = right.agg(F.sum(rows)).head()[0] or 0
-    is_hot = F.col(rows) * HOT_KEYS > total
-    hot, others = right.filter(is_hot).drop(rows), right.filter(~is_hot).drop(rows)
+    hot, others = _by_heat(right, rows)
     met = left.join(F.broadcast(hot), keys)
     return met.unionByName(left.join(F.broadcast(hot.select(*keys)), keys, "left_anti").join(others, keys))
 
 
+def without(left: DataFrame, right: DataFrame, keys: list[str], rows: str) -> DataFrame:
+    """Rows of ``left`` whose key is not in ``right``; both as for ``lookup``."""
+    hot, others = _by_heat(right, rows)
+    return left.join(F.broadcast(hot.select(*keys)), keys, "left_anti").join(others.select(*keys), keys, "left_anti")
+
+
 def utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """Bytes of all texts end to end, and where each begins (one more entry than texts); nulls are empty."""
     column = column.cast(pa.large_binary())
