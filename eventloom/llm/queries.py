@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, chat, decontaminate, langid, lines, lm, packing, repair, repeats, secrets, simhash, toxicity
+from . import ann, chat, decontaminate, langid, lines, lm, packing, periods, repair, repeats, secrets, simhash, toxicity
 from .common import remainder, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -61,6 +61,10 @@ def op10_decontamination(spark: SparkSession, sf: str) -> DataFrame:
     return decontaminate.leaks(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
 
 
+def op11_periods(spark: SparkSession, sf: str) -> DataFrame:
+    return periods.digest(periods.find_runs(periods.plant(table(spark, sf, "documents"))))
+
+
 def op12_lines(spark: SparkSession, sf: str) -> DataFrame:
     return lines.digest(lines.drop_shared_lines(table(spark, sf, "documents")))
 
@@ -83,6 +87,7 @@ QUERIES: dict[str, Query] = {
         op8_langid,
         op9_toxicity,
         op10_decontamination,
+        op11_periods,
         op12_lines,
         op13_repair,
     )
