@@ -7,9 +7,10 @@ from pyspark.sql import functions as F
 
 from ..operators import analytics as a
 from ..operators import conflicts, enhance, export, filters, integrity
-from ..operators.merge import insert_if_absent, number_rows, replace_by_key, replace_tags
+from ..operators.merge import absent_rows, number_rows
 from ..sinks import files
-from ..sources.tables import load_tables, write_version
+from ..sources.store import append_rows, load_tables, replace_rows
+from ..session import cut_lineage
 from ..vocab import SEED_CATEGORIES
 from .recommend import recommendations, severity_counts, with_recommendation
 
@@ -22,7 +23,7 @@ def init_tables(spark: SparkSession, root: str) -> None:
     )
     top = categories.agg(F.coalesce(F.max("id"), F.lit(0)).alias("m")).scalar()
     rows = number_rows(seeds, "position", "number").withColumn("id", F.col("number") + top)
-    write_version(insert_if_absent(categories, rows, ["name"], "position"), f"{root}/categories")
+    append_rows(absent_rows(categories, rows, ["name"], "position"), root, "categories")
 
 
 def list_upcoming(spark: SparkSession, root: str, as_of: str, limit: int | None = 10, **options) -> DataFrame:
@@ -73,8 +74,7 @@ def detect_conflicts(events: DataFrame, as_of: str) -> dict[str, DataFrame]:
 def generate_recommendations(spark: SparkSession, root: str, as_of: str) -> dict[str, int]:
     """Stores a fresh recommendation per upcoming event; returns the counters."""
     tables = load_tables(spark, root, register=False)
-    stored, path = tables["event_recommendations"], f"{root}/event_recommendations"
-    write_version(replace_by_key(stored, recommendations(tables["events"], as_of), ["event_id"]), path)
+    replace_rows(spark, root, "event_recommendations", recommendations(tables["events"], as_of))
     fresh = load_tables(spark, root, register=False)["event_recommendations"]
     current = filters.upcoming(tables["events"], as_of).select(F.col("id").alias("event_id"))
     return severity_counts(fresh.join(current, "event_id", "left_semi")).first().asDict()
@@ -84,12 +84,10 @@ def enhance_all(spark: SparkSession, root: str) -> int:
     """Enhances the events still waiting for it; returns how many."""
     tables = load_tables(spark, root, register=False)
     queue = enhance.enhancement_queue(tables["events"], tables["enhanced_content"])
-    fresh = enhance.enhance(queue)
-    write_version(
-        replace_by_key(tables["enhanced_content"], enhance.content_of(fresh), ["event_id"]), f"{root}/enhanced_content"
-    )
-    write_version(replace_tags(tables["event_tags"], enhance.tags_of(fresh)), f"{root}/event_tags")
-    return queue.count()
+    fresh = cut_lineage(enhance.enhance(queue))
+    replace_rows(spark, root, "enhanced_content", enhance.content_of(fresh))
+    replace_rows(spark, root, "event_tags", enhance.tags_of(fresh))
+    return fresh.count()
 
 
 def export_csv(spark: SparkSession, root: str, path: str, as_of: str, single_file: bool = False, **options) -> int:

@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 
 from ..operators.export import vevent_text, with_headers
 from ..schema import TABLES
-from ..sources.tables import append_rows, load_tables, read_latest, write_version
+from ..sources.known import rebuild_known
+from ..sources.store import append_rows, load_tables, read_table, write_table
 
 
 def _counted(df: DataFrame) -> tuple[DataFrame, Observation]:
@@ -86,7 +87,7 @@ def write_rejects(rejects: DataFrame, path: str) -> bool:
     return True
 
 
-def append_history(spark: SparkSession, path: str, events_scraped: int, stamp: Column | None = None) -> None:
+def append_history(spark: SparkSession, root: str, events_scraped: int, stamp: Column | None = None) -> None:
     """One run record: start = end = stamp, status success."""
     now = stamp if stamp is not None else F.current_timestamp()
     run = spark.range(1).select(
@@ -97,13 +98,13 @@ def append_history(spark: SparkSession, path: str, events_scraped: int, stamp: C
         F.lit("success").alias("status"),
         F.lit(None).cast("string").alias("error_message"),
     )
-    history = read_latest(spark, path, TABLES["scraping_history"])
+    history = read_table(spark, root, "scraping_history")
     next_id = history.agg(F.coalesce(F.max("id"), F.lit(0)) + 1).scalar()
-    append_rows(run.withColumn("id", next_id).select(*history.columns), path)
+    append_rows(run.withColumn("id", next_id).select(*history.columns), root, "scraping_history")
 
 
 def snapshot(spark: SparkSession, root: str, name: str) -> str:
-    """Copies the current version of every table under ``root/snapshots/name``."""
+    """Copies every table to ``root/snapshots/name``."""
     folder = f"{root}/snapshots/{name}"
     for table, df in load_tables(spark, root, register=False).items():
         df.write.mode("overwrite").parquet(f"{folder}/{table}")
@@ -111,7 +112,10 @@ def snapshot(spark: SparkSession, root: str, name: str) -> str:
 
 
 def restore(spark: SparkSession, root: str, name: str) -> None:
-    """Makes a snapshot the newest version of every table; nothing is written if any schema differs."""
+    """Every table becomes what its snapshot holds, and what is known of links follows; nothing is written if any schema differs.
+
+    The snapshot stays: a restore that fails on its way is repeated.
+    """
     folder = f"{root}/snapshots/{name}"
     saved = {table: spark.read.parquet(f"{folder}/{table}") for table in TABLES}
     for table, df in saved.items():
@@ -119,4 +123,5 @@ def restore(spark: SparkSession, root: str, name: str) -> None:
         if df.dtypes != expected:
             raise ValueError(f"snapshot {name!r}: table {table} has columns {df.dtypes}, expected {expected}")
     for table, df in saved.items():
-        write_version(df, f"{root}/{table}")
+        write_table(df, root, table, name)
+    rebuild_known(spark, root)

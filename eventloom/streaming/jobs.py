@@ -6,12 +6,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from ..operators.enhance import content_of, default_content, enhance
+from ..operators.dedup import accept_in_order
+from ..operators.enhance import content_of, default_content, enhance, enhancement_queue, tags_of
 from ..operators.validation import rejected_rows, valid_rows, validate
 from ..plans.ingest import new_events
-from ..operators.dedup import accept_in_order
-from ..schema import ENHANCED_CONTENT, EVENTS, RAW_EVENTS, SCRAPING_HISTORY
+from ..schema import RAW_EVENTS
 from ..session import cut_lineage
+from ..sources.known import add_links, first_of_links, known_events, last_id, reserve_ids
+from ..sources.store import FOLDERS, append_rows, overwrite_folders, read_table, replace_rows, rows_of_ids
 
 INCOMING = f"position BIGINT, {RAW_EVENTS}"
 
@@ -20,16 +22,8 @@ def read_incoming(spark: SparkSession, path: str, schema: str = INCOMING, fmt: s
     return spark.readStream.format(fmt).schema(schema).options(**options).load(path)
 
 
-def _batches(spark: SparkSession, path: str, schema: str, before: int) -> DataFrame:
-    """Rows written by micro-batches below ``before``. A repeated batch does not see its own earlier attempt."""
-    jvm = spark.sparkContext._jvm
-    folder = jvm.org.apache.hadoop.fs.Path(path)
-    fs = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    if not fs.exists(folder):
-        return spark.createDataFrame([], schema)
-    return (
-        spark.read.schema(f"{schema}, batch BIGINT").parquet(path).filter(F.col("batch") < before).drop("batch")
-    )
+def _name(number: int) -> str:
+    return f"{number:09d}"
 
 
 def _write_batch(df: DataFrame, path: str, batch: int) -> None:
@@ -40,26 +34,31 @@ def _write_batch(df: DataFrame, path: str, batch: int) -> None:
 def ingest_stream(incoming: DataFrame, root: str, checkpoint: str, available_now: bool = True) -> StreamingQuery:
     """Validates each micro-batch, refuses duplicates of stored and earlier rows, appends the rest.
 
-    Output folders under ``root``: ``events``, ``rejects``, ``enhanced_content`` (the default row of each new
-    event) and ``scraping_history``, all partitioned by batch number.
+    Writes the tables under ``root``: ``events``, ``enhanced_content`` (the default row of each new event) and ``scraping_history``, and
+    beside them ``rejects`` and what ``sources.known`` keeps. A micro-batch reads events of its own dates and links of its own buckets
+    only; one that is run again does not see its earlier attempt and replaces it.
     """
 
     def ingest(batch: DataFrame, number: int) -> None:
-        spark = batch.sparkSession
-        stored = _batches(spark, f"{root}/events", EVENTS, number)
+        spark, name = batch.sparkSession, _name(number)
         checked = cut_lineage(validate(batch))
-        accepted = accept_in_order(valid_rows(checked, "position").withColumnRenamed("position", "id"), stored)
-        fresh = cut_lineage(new_events(accepted.withColumnRenamed("id", "position"), stored, "position", F.current_timestamp()))
-        _write_batch(fresh, f"{root}/events", number)
+        valid = valid_rows(checked, "position")
+        accepted = accept_in_order(valid.withColumnRenamed("position", "id"), known_events(spark, root, valid, name))
+        accepted = cut_lineage(accepted.withColumnRenamed("id", "position"))
+        top, added = last_id(spark, root, name), accepted.count()
+        reserve_ids(spark, root, top + added, name)
+        fresh = cut_lineage(new_events(accepted, top, "position", F.current_timestamp()))
+        overwrite_folders(fresh.withColumn("batch", F.lit(name)), f"{root}/events", *FOLDERS["events"])
+        add_links(fresh, root, name)
         _write_batch(rejected_rows(checked), f"{root}/rejects", number)
-        known = _batches(spark, f"{root}/enhanced_content", ENHANCED_CONTENT, number)
-        _write_batch(default_content(fresh, known), f"{root}/enhanced_content", number)
+        ids = fresh.select(F.col("id").alias("event_id"))
+        append_rows(default_content(fresh, rows_of_ids(spark, root, "enhanced_content", ids)), root, "enhanced_content")
         now = F.current_timestamp()
-        run = fresh.agg(
+        run = spark.range(1).select(
             F.lit(number + 1).cast("bigint").alias("id"),
             now.alias("start_time"),
             now.alias("end_time"),
-            F.count(F.lit(1)).alias("events_scraped"),
+            F.lit(added).cast("bigint").alias("events_scraped"),
             F.lit("success").alias("status"),
             F.lit(None).cast("string").alias("error_message"),
         )
@@ -70,11 +69,50 @@ def ingest_stream(incoming: DataFrame, root: str, checkpoint: str, available_now
 
 
 def stored_events(spark: SparkSession, root: str) -> DataFrame:
-    return _batches(spark, f"{root}/events", EVENTS, 1 << 62)
+    return read_table(spark, root, "events")
 
 
 def run_history(spark: SparkSession, root: str) -> DataFrame:
-    return _batches(spark, f"{root}/scraping_history", SCRAPING_HISTORY, 1 << 62)
+    return read_table(spark, root, "scraping_history")
+
+
+def first_links_stream(
+    incoming: DataFrame, root: str, checkpoint: str, order: str = "position", available_now: bool = True
+) -> StreamingQuery:
+    """Rows whose link comes for the first time ever go to ``root/first_links``; a repeated link is refused after any delay.
+
+    Keys are kept in ``root/seen_links``, and a micro-batch reads the buckets of its own links. Of a link's rows in one micro-batch the
+    first by ``order`` stays; rows without a link all do. The stream yields what ``merge.insert_if_absent`` yields on all rows in turn.
+    """
+
+    def take(batch: DataFrame, number: int) -> None:
+        name = _name(number)
+        fresh = cut_lineage(first_of_links(batch, root, order, name))
+        _write_batch(fresh, f"{root}/first_links", number)
+        add_links(fresh.withColumn("id", F.col(order)), root, name)
+
+    writer = incoming.writeStream.foreachBatch(take).option("checkpointLocation", checkpoint)
+    return (writer.trigger(availableNow=True) if available_now else writer).start()
+
+
+def enhance_waiting_stream(events: DataFrame, root: str, checkpoint: str, available_now: bool = True) -> StreamingQuery:
+    """Enhances the streamed events that still wait for it: those whose stored content has no description.
+
+    Each micro-batch is held against the stored content of its own ids, so an event that comes again, or whose content another job has
+    written meanwhile, is left alone. Content and tags of the others take the place of their default rows.
+    """
+
+    def fill(batch: DataFrame, number: int) -> None:
+        spark = batch.sparkSession
+        rows = batch.dropDuplicates(["id"])
+        stored = rows_of_ids(spark, root, "enhanced_content", rows.select(F.col("id").alias("event_id")))
+        fresh = cut_lineage(enhance(enhancement_queue(rows, stored)))
+        # Tags first: content with a description is what marks an event as done.
+        replace_rows(spark, root, "event_tags", tags_of(fresh))
+        replace_rows(spark, root, "enhanced_content", content_of(fresh))
+
+    writer = events.writeStream.foreachBatch(fill).option("checkpointLocation", checkpoint)
+    return (writer.trigger(availableNow=True) if available_now else writer).start()
 
 
 def enhance_stream(events: DataFrame, path: str, checkpoint: str, available_now: bool = True) -> StreamingQuery:

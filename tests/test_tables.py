@@ -6,14 +6,15 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
-from eventloom.operators import enhance, export, integrity, merge
+from eventloom.operators import enhance, export, filters, integrity, merge
 from eventloom.plans import commands
 from eventloom.plans.cleanup import purge
-from eventloom.plans.ingest import run_ingest
-from eventloom.schema import EVENTS, TABLES
+from eventloom.plans.ingest import run_ingest, run_upsert
+from eventloom.schema import EVENTS
 from eventloom.sinks import files
 from eventloom.sources.pages import LISTING_BLOCKS, extract_listing_rows
-from eventloom.sources.tables import append_rows, load_tables, read_latest, run_sql, write_version
+from eventloom.sources.known import known_events, last_id, seen_links
+from eventloom.sources.store import append_rows, existing_tables, load_tables, read_table, run_sql, write_table
 
 AS_OF = "2025-01-01"
 STAMP = "2025-01-01 12:00:00"
@@ -106,8 +107,8 @@ def test_rejects_and_history(spark, tmp_path):
     text = "".join(open(part).read() for part in glob.glob(str(tmp_path / "rejects" / "part-*.json")))
     assert json.loads(text) == {"url": "u", "error": "e"}
     for n in (3, 4):
-        files.append_history(spark, str(tmp_path / "history"), n, stamp())
-    rows = read_latest(spark, str(tmp_path / "history"), TABLES["scraping_history"]).orderBy("id").collect()
+        files.append_history(spark, str(tmp_path), n, stamp())
+    rows = read_table(spark, str(tmp_path), "scraping_history").orderBy("id").collect()
     assert [(r.id, r.events_scraped, r.status) for r in rows] == [(1, 3, "success"), (2, 4, "success")]
 
 
@@ -115,19 +116,78 @@ def stored(make_events):
     return sample(make_events).withColumns({"created_at": stamp(), "last_updated": stamp()})
 
 
+def parts(root, table="events"):
+    """Data files of a table and when they were written."""
+    return {p: os.path.getmtime(p) for p in glob.glob(f"{root}/{table}/**/part-*", recursive=True)}
+
+
 def test_appends_leave_files_alone(spark, make_events, tmp_path):
     root, rows = str(tmp_path), stored(make_events)
-    path, parts = f"{root}/events", lambda: {p: os.path.getmtime(p) for p in glob.glob(f"{root}/events/*/part-*")}
-    assert append_rows(rows.filter("id <= 2"), path) == 1
-    before = parts()
-    assert append_rows(rows.filter("id > 2"), path) == 2
-    assert before and before.items() < parts().items()
-    assert load_tables(spark, root)["events"].count() == 5
-    assert write_version(rows.filter("id = 1"), path) == 3
-    append_rows(rows.filter("id = 2"), path)
-    (tmp_path / "events" / "a=9").mkdir()
-    assert sorted(r.id for r in load_tables(spark, root)["events"].collect()) == [1, 2]
-    assert append_rows(rows.filter("id = 3"), path) == 10
+    append_rows(rows.filter("id <= 2"), root, "events", "one")
+    before = parts(root)
+    append_rows(rows.filter("id > 2"), root, "events", "two")
+    assert before and before.items() < parts(root).items()
+    table = load_tables(spark, root)["events"]
+    assert sorted(r.id for r in table.collect()) == [1, 2, 3, 4, 5] and existing_tables(spark, root) == ["events"]
+    assert table.dtypes == spark.createDataFrame([], EVENTS).dtypes
+    write_table(rows.filter("id = 1"), root, "events")
+    assert [r.id for r in load_tables(spark, root)["events"].collect()] == [1]
+    assert read_table(spark, root, "event_tags").count() == 0
+
+
+def test_a_date_bound_prunes_folders(spark, make_events, tmp_path, capsys):
+    root = str(tmp_path)
+    append_rows(stored(make_events), root, "events", "one")
+    found = filters.upcoming(load_tables(spark, root)["events"], AS_OF).select("id", "title")
+    found.explain("formatted")
+    assert "PartitionFilters: [isnotnull(date" in capsys.readouterr().out
+    assert sorted(r.id for r in found.collect()) == [1, 2, 3, 5]
+
+
+def raw(spark, *rows):
+    """Listed rows (position, title, date, link)."""
+    full = [(p, t, f"about {p}", d, "10:00", "Hall", f"https://a.example.edu/{k}") for p, t, d, k in rows]
+    return spark.createDataFrame(
+        full, "position BIGINT, title STRING, description STRING, date STRING, time STRING, location STRING, link STRING"
+    )
+
+
+def test_an_upsert_rewrites_its_dates_only(spark, tmp_path):
+    root = str(tmp_path)
+    first = raw(spark, *[(i, f"{word} meeting", f"2025-03-{i:02d}", i) for i, word in enumerate(("Alpha", "Bravo", "Chess", "Delta"), 1)])
+    assert run_ingest(spark, root, first, stamp=stamp(), run="one")["added"] == 4
+    before = parts(root)
+    again = raw(spark, (7, "Bravo meeting", "2025-03-02", 2), (8, "Elsewhere", "2025-03-02", 4), (9, "Foxtrot night", "2025-03-03", 9))
+    later = F.lit("2025-02-02 00:00:00").cast("timestamp")
+    assert run_upsert(spark, root, again, stamp=later, run="two") == 2
+    out = {r.title: r for r in read_table(spark, root, "events").collect()}
+    assert set(out) == {"Alpha meeting", "Bravo meeting", "Chess meeting", "Delta meeting", "Foxtrot night"}
+    assert out["Bravo meeting"].description == "about 7" and out["Bravo meeting"].id == 2 and out["Foxtrot night"].id > 4
+    changed = {p.split("date=")[1][:10] for p, _ in set(parts(root).items()) ^ set(before.items())}
+    assert changed == {"2025-03-02", "2025-03-03"}
+    whole = merge.upsert_events(stored_like(spark, first), again, "position", later)
+    assert sorted((r.title, r.description) for r in whole.collect()) == sorted((r.title, r.description) for r in out.values())
+    assert run_ingest(spark, root, raw(spark, (1, "Other", "2025-05-05", 9)), stamp=stamp())["added"] == 0
+
+
+def stored_like(spark, rows):
+    return rows.withColumnRenamed("position", "id").withColumns({"created_at": stamp(), "last_updated": stamp()})
+
+
+def test_what_an_ingest_reads_does_not_grow_with_other_dates(spark, tmp_path):
+    root = str(tmp_path)
+    batch = raw(spark, (1, "Chess night", "2025-03-01", "new"), (2, "Open stage", "2025-03-02", "x7"))
+    run_ingest(spark, root, raw(spark, (1, "Chess nights", "2025-03-01", "c")), stamp=stamp())
+    size = lambda: sum(os.path.getsize(f.removeprefix("file://")) for f in known_events(spark, root, batch).inputFiles())
+    read = []
+    for month in (4, 5):
+        rows = [(d, f"{chr(64 + d)} talk number {d} {month}", f"2025-{month:02d}-{d:02d}", f"{month}-{d}") for d in range(1, 13)]
+        assert run_ingest(spark, root, raw(spark, *rows), stamp=stamp())["added"] == 12
+        read.append(size())
+    found = len(seen_links(spark, root, batch).inputFiles())
+    assert read[0] > 0 and max(read) - min(read) < 20_000 and found < 5 < len(parts(root, "seen_links"))
+    assert last_id(spark, root) == 25
+    assert run_ingest(spark, root, batch, stamp=stamp())["added"] == 1
 
 
 def test_a_repeated_run_replaces_its_rejects(spark, tmp_path):
@@ -141,12 +201,12 @@ def test_a_repeated_run_replaces_its_rejects(spark, tmp_path):
 
 def test_snapshot_and_restore(spark, make_events, tmp_path):
     root = str(tmp_path)
-    write_version(stored(make_events), f"{root}/events")
+    write_table(stored(make_events), root, "events")
     files.snapshot(spark, root, "before")
-    write_version(stored(make_events).limit(0), f"{root}/events")
+    write_table(stored(make_events).limit(0), root, "events")
     assert load_tables(spark, root)["events"].count() == 0
     files.restore(spark, root, "before")
-    assert load_tables(spark, root)["events"].count() == 5
+    assert load_tables(spark, root)["events"].count() == 5 and last_id(spark, root) == 5
     assert run_sql(spark, "SELECT title FROM events WHERE id = :id", id=2).first().title == "Open day"
     spark.range(3).write.mode("overwrite").parquet(f"{root}/snapshots/before/event_tags")
     with pytest.raises(ValueError):
