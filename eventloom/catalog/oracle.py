@@ -510,6 +510,19 @@ check(
     THEN INTERVAL '86399.999999 seconds' ELSE INTERVAL 1 HOUR END, {_STAMP}) AS end_ts
   FROM (SELECT *, CAST(date || ' ' || coalesce(time, '00:00') || ':00' AS TIMESTAMP) AS s FROM ce)""",
 )
+_GROUPS = f"""WITH RECURSIVE {", ".join(f"{v} AS ({VIEWS[v]})" for v in PAIRS)},
+edge AS MATERIALIZED (SELECT 'venue' AS kind, id_1 AS a, id_2 AS b FROM vp UNION ALL SELECT 'venue', id_2, id_1 FROM vp
+  UNION ALL SELECT 'building', id_1, id_2 FROM bp UNION ALL SELECT 'building', id_2, id_1 FROM bp),
+reach AS (SELECT kind, a, b FROM edge UNION SELECT r.kind, r.a, e.b FROM reach r JOIN edge e ON e.kind = r.kind AND e.a = r.b),
+label AS (SELECT kind, a AS id, min(least(a, b)) AS first_id FROM reach GROUP BY 1, 2),
+degree AS (SELECT kind, a AS id, count(*) AS others FROM edge GROUP BY 1, 2),
+member AS (SELECT l.kind, CASE l.kind WHEN 'venue' THEN p.venue ELSE trim(split_part(location, ',', 1)) END AS place,
+    l.id, first_id, others, s, e FROM label l JOIN degree d ON d.kind = l.kind AND d.id = l.id JOIN placed p ON p.id = l.id)
+"""
+SQL["conflict_groups"] = _GROUPS + f"""SELECT kind, place, first_id, count(*) AS events, CAST(sum(others) // 2 AS BIGINT) AS pairs,
+  strftime(min(s), {_STAMP}) AS started, strftime(max(e), {_STAMP}) AS ended FROM member GROUP BY 1, 2, 3"""
+SQL["conflict_members"] = _GROUPS + f"""SELECT kind, place, id, others AS "overlaps",
+  strftime(min(s) OVER (PARTITION BY kind, first_id), {_STAMP}) AS started FROM member"""
 check("venue_conflicts", VENUES, "SELECT * FROM vc")
 check("building_conflicts", PAIRS, "SELECT 'building_conflict' AS type, * FROM bp")
 check("recurring_conflicts", ["ce", "up", "iv", "rp", "rc"], "SELECT * FROM rc")

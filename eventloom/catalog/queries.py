@@ -17,7 +17,7 @@ from ..operators.validation import validate, validation_stats
 from ..plans import cleanup, recommend
 from ..plans.ingest import ingest_batch
 from ..session import cut_lineage
-from ..sources.campus import campus_events
+from ..sources.campus import campus_events, documents
 from ..sources.pages import extract_listing_rows
 from .views import AS_OF, DIRTY, HISTORY_BEFORE, RELISTED
 
@@ -31,17 +31,17 @@ def query(fn: Query) -> Query:
     return fn
 
 
-def ce(spark: SparkSession, sf: str, *columns: str, since: str | None = None) -> DataFrame:
-    return campus_events(spark, sf, *columns, since=since)
+def ce(spark: SparkSession, sf: str, *columns: str, since: str | None = None, until: str | None = None) -> DataFrame:
+    return campus_events(spark, sf, *columns, since=since, until=until)
 
 
 def derived(spark: SparkSession, sf: str, view: str) -> DataFrame:
     return spark.sql(view, ce=ce(spark, sf))
 
 
-def content(spark: SparkSession, sf: str, *columns: str) -> DataFrame:
-    """Enhanced content of all events; only the named columns are computed."""
-    enhanced = enhance.content_of(enhance.enhance(ce(spark, sf, "id", "title", "description")))
+def content(spark: SparkSession, sf: str, *columns: str, since: str | None = None, until: str | None = None) -> DataFrame:
+    """Enhanced content of the events; only the named columns are computed."""
+    enhanced = enhance.content_of(enhance.enhance(ce(spark, sf, "id", "title", "description", since=since, until=until)))
     return enhanced.select("event_id", *columns) if columns else enhanced
 
 
@@ -94,23 +94,23 @@ def upcoming(spark, sf):
 
 @query
 def past_events(spark, sf):
-    return filters.past(ce(spark, sf, "title", "date", "time"), AS_OF)
+    return filters.past(ce(spark, sf, "title", "date", "time", until=AS_OF), AS_OF)
 
 
 @query
 def past_count(spark, sf):
-    return filters.past(ce(spark, sf, "title", "date", "time"), AS_OF).agg(F.count(F.lit(1)).alias("past_events"))
+    return filters.past(ce(spark, sf, "title", "date", "time", until=AS_OF), AS_OF).agg(F.count(F.lit(1)).alias("past_events"))
 
 
 @query
 def list_range(spark, sf):
-    rows = ce(spark, sf, "id", "date", "time", "location")
+    rows = ce(spark, sf, "id", "date", "time", "location", since="2024-01-05", until="2024-01-21")
     return filters.date_range(rows, AS_OF, "2024-01-05", "2024-01-20", "listing")
 
 
 @query
 def export_range(spark, sf):
-    rows = ce(spark, sf, "id", "date", "time", "location")
+    rows = ce(spark, sf, "id", "date", "time", "location", since=AS_OF, until="2024-01-21")
     return filters.date_range(rows, AS_OF, "2024-01-05", "2024-01-20", "export")
 
 
@@ -138,7 +138,7 @@ def event_by_id(spark, sf):
 def enhance_queue(spark, sf):
     """Content stored for the events before a date; the others wait."""
     done = enhance.content_of(
-        enhance.enhance(filters.past_rows(ce(spark, sf, "id", "title", "description", "date"), HISTORY_BEFORE))
+        enhance.enhance(filters.past_rows(ce(spark, sf, "id", "title", "description", "date", until=HISTORY_BEFORE), HISTORY_BEFORE))
     )
     return enhance.enhancement_queue(ce(spark, sf, "id", "title", "description"), done)
 
@@ -154,8 +154,8 @@ def list_upcoming(spark, sf):
 @query
 def list_all_filtered(spark, sf):
     rows = filters.list_events(
-        ce(spark, sf, "id", "title", "date", "location"),
-        content(spark, sf, "event_type", "seo_score"),
+        ce(spark, sf, "id", "title", "date", "location", since="2024-01-10", until="2024-01-26"),
+        content(spark, sf, "event_type", "seo_score", since="2024-01-10", until="2024-01-26"),
         AS_OF,
         limit=None,
         event_type="Arts",
@@ -250,7 +250,7 @@ def insights(spark, sf):
 
 @query
 def export_by_type(spark, sf):
-    return a.upcoming_by_type(ce(spark, sf, "id", "date"), content(spark, sf, "event_type"), AS_OF)
+    return a.upcoming_by_type(ce(spark, sf, "id", "date", since=AS_OF), content(spark, sf, "event_type", since=AS_OF), AS_OF)
 
 
 @query
@@ -310,14 +310,21 @@ def dup_title_date(spark, sf):
     return dedup.match_title_date(derived(spark, sf, RELISTED), ce(spark, sf, "id", "title", "date"))
 
 
+def _listings(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
+    """Seen again, and stored: as the tables that an application would hold, since the verdict reads each several times."""
+    columns = ("id", "title", "date", "link")
+    return cut_lineage(derived(spark, sf, RELISTED).select(*columns)), cut_lineage(ce(spark, sf, *columns))
+
+
 @query
 def dup_fuzzy(spark, sf):
-    return dedup.match_similar(derived(spark, sf, RELISTED), ce(spark, sf, "id", "title", "date"))
+    seen, stored = _listings(spark, sf)
+    return dedup.match_similar(seen, stored)
 
 
 @query
 def dup_verdict(spark, sf):
-    return dedup.duplicate_verdict(derived(spark, sf, RELISTED), ce(spark, sf, "id", "title", "date", "link"))
+    return dedup.duplicate_verdict(*_listings(spark, sf))
 
 
 @query
@@ -385,7 +392,7 @@ def recurring_conflicts(spark, sf):
 
 @query
 def conflict_summary(spark, sf):
-    return conflicts.conflict_summary(ce(spark, sf, "id", "title", "date", "time", "location"), AS_OF)
+    return conflicts.conflict_summary(ce(spark, sf, "id", "title", "date", "time", "location", since=AS_OF), AS_OF)
 
 
 @query
@@ -395,7 +402,26 @@ def event_conflicts(spark, sf):
 
 @query
 def conflict_lines(spark, sf):
-    return conflicts.conflict_lines(ce(spark, sf, "id", "title", "date", "time", "location"), AS_OF)
+    rows = cut_lineage(ce(spark, sf, "id", "title", "date", "time", "location", since=AS_OF))
+    return conflicts.conflict_lines(rows, AS_OF)
+
+
+def _stamped(df: DataFrame, **columns: str) -> DataFrame:
+    """Microseconds as text, under another name."""
+    stamp = "yyyy-MM-dd HH:mm:ss.SSSSSS"
+    return df.withColumns({n: F.date_format(calendar.as_timestamp(F.col(c)), stamp) for n, c in columns.items()}).drop(*columns.values())
+
+
+@query
+def conflict_groups(spark, sf):
+    rows = ce(spark, sf, "id", "date", "time", "location", since=AS_OF)
+    return _stamped(conflicts.conflict_groups(rows, AS_OF), started="started_us", ended="ended_us")
+
+
+@query
+def conflict_members(spark, sf):
+    rows = ce(spark, sf, "id", "date", "time", "location", since=AS_OF)
+    return _stamped(conflicts.conflict_members(rows, AS_OF).drop("start_us", "end_us"), started="started_us")
 
 
 def _booked(spark: SparkSession, sf: str) -> DataFrame:
@@ -536,17 +562,16 @@ def key_elements(spark, sf):
 
 @query
 def doc_keywords(spark, sf):
-    documents = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text")
-    return ints_as_long(key_terms(documents, "doc_id", "text")).select("id", "rank", "term", "tf", "df")
+    return ints_as_long(key_terms(documents(spark, sf), "doc_id", "text")).select("id", "rank", "term", "tf", "df")
 
 
 @query
 def feature_bundle(spark, sf):
     """Everything known about an event's text, with the key terms of its document; lists joined."""
-    documents = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text")
-    terms = key_terms(documents, "doc_id", "text").groupBy(F.col("id").alias("doc_id"))
+    texts = documents(spark, sf)
+    terms = key_terms(texts, "doc_id", "text").groupBy(F.col("id").alias("doc_id"))
     ordered = F.array_sort(F.collect_list(F.struct("rank", "term")))["term"]
-    n = documents.agg(F.count(F.lit(1)).alias("n")).scalar()
+    n = texts.agg(F.count(F.lit(1)).alias("n")).scalar()
     owner = ce(spark, sf, "id").select("id", (F.col("id") % n).alias("doc_id"))
     keywords = owner.join(terms.agg(ordered.alias("keywords")), "doc_id").select("id", "keywords")
     bundle = enhance.feature_bundle(ce(spark, sf, "id", "title", "description"), keywords)
@@ -649,28 +674,20 @@ def upsert_events(spark, sf):
 @query
 def export_basic(spark, sf):
     rows = export.export_rows(
-        ce(spark, sf), AS_OF, content(spark, sf, "event_type"), event_type="Academic", include_enhanced=False
+        ce(spark, sf, since=AS_OF), AS_OF, content(spark, sf, "event_type", since=AS_OF), event_type="Academic", include_enhanced=False
     )
     return export.with_headers(rows)
 
 
 @query
 def export_enhanced(spark, sf):
-    enhanced = enhance.enhance(ce(spark, sf, "id", "title", "description"))
-    rows = export.export_rows(
-        ce(spark, sf),
-        AS_OF,
-        enhance.content_of(enhanced),
-        enhance.tags_of(enhanced),
-        location="room",
-        date_from="2024-01-16",
-        date_to="2024-01-25",
-    )
+    events = ce(spark, sf, since="2024-01-16", until="2024-01-26")
+    rows = export.enhanced_export_rows(events, AS_OF, location="room", date_from="2024-01-16", date_to="2024-01-25")
     return export.with_headers(ints_as_long(rows))
 
 
 def _entries(spark: SparkSession, sf: str, **options) -> DataFrame:
-    entries = export.vevents(ce(spark, sf), content(spark, sf, "event_type"), AS_OF, **options)
+    entries = export.vevents(ce(spark, sf, since=AS_OF), content(spark, sf, "event_type", since=AS_OF), AS_OF, **options)
     return entries.drop("date", "time")
 
 

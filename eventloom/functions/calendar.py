@@ -63,11 +63,6 @@ def as_timestamp(us: Column) -> Column:
     )
 
 
-def overlaps(s1: Column, e1: Column, s2: Column, e2: Column) -> Column:
-    """Half-open overlap; FALSE when any bound is missing."""
-    return F.coalesce((s1 < e2) & (s2 < e1), F.lit(False))
-
-
 def split_iso(col: Column) -> tuple[Column, Column]:
     """(date, time) of ``YYYY-MM-DD[THH:MM…]``; both NULL when the text does not hold a valid date."""
     parts = F.size(F.split(col, "T"))

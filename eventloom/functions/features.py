@@ -62,11 +62,11 @@ def event_types(text: Column) -> Column:
     return F.coalesce(F.when(joined != "", joined), default)
 
 
-def tags(text: str) -> Column:
-    """First ten tags in alphabetical order: groups, keywords, places, dayparts and weekdays found in a lower-cased text."""
+def tags(text: str, most: int = vocab.MOST_TAGS) -> Column:
+    """First ``most`` tags in alphabetical order: groups, keywords, places, dayparts and weekdays found in a lower-cased text."""
     matching = f"filter({_named_groups(vocab.EVENT_KEYWORDS | vocab.DAYPART_WORDS)}, g -> arrays_overlap(g.words, found))"
     plain = f"array_intersect({_sql_array(_PLAIN_TAGS)}, found)"
-    result = f"slice(sort_array(array_union({plain}, transform({matching}, g -> g.name))), 1, 10)"
+    result = f"slice(sort_array(array_union({plain}, transform({matching}, g -> g.name))), 1, {most})"
     search = f"filter({_sql_array(_ALL_WORDS)}, word -> contains(txt, word))"
     return F.expr(let("txt", text, let("found", search, result)))
 

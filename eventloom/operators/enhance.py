@@ -9,13 +9,14 @@ from .. import vocab
 from ..functions import features as f
 
 
-def enhance(events: DataFrame, footer: str = vocab.FOOTER) -> DataFrame:
-    """One narrow projection, no shuffle: id, content columns, ``tags`` and the two suggestion lists."""
+def enhance(events: DataFrame, footer: str = vocab.FOOTER, keep: tuple[str, ...] = ()) -> DataFrame:
+    """One narrow projection, no shuffle: id, content columns, ``tags`` and the two suggestion lists; ``keep`` are columns to pass on."""
     title, description = F.col("title"), F.col("description")
     read = events.select(
         "id",
         "title",
         "description",
+        *[c for c in keep if c not in ("id", "title", "description")],
         f.full_text(title, description).alias("text"),
         f.time_mentions(f.said(description)).alias("structured_time"),
         f.location_mentions(f.said(description)).alias("structured_location"),
@@ -39,6 +40,7 @@ def enhance(events: DataFrame, footer: str = vocab.FOOTER) -> DataFrame:
         "missing_details",
         "title_suggestions",
         f.tags("text").alias("tags"),
+        *keep,
     )
 
 

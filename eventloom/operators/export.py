@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.calendar import as_timestamp, strict_date
 from ..functions.text import filled
-from .enhance import tag_text
+from .enhance import enhance, tag_text
 from .filters import date_range, text_filters, with_content
 from .intervals import with_interval
 
@@ -54,6 +54,24 @@ def export_rows(
     return rows.select(*columns).orderBy("date", "time", "id")
 
 
+def enhanced_export_rows(
+    events: DataFrame,
+    as_of: str,
+    event_type: str | None = None,
+    location: str | None = None,
+    date_from: str | None = None,
+    date_to: str | None = None,
+) -> DataFrame:
+    """``export_rows`` where no content is stored: the filtered events are enhanced once, and content and tags come from the same row.
+
+    Rows are sorted before they are enhanced, which leaves their order, so the sort's sample does not enhance them too.
+    """
+    rows = text_filters(date_range(events, as_of, date_from, date_to), location=location).orderBy("date", "time", "id")
+    full = text_filters(enhance(rows, keep=tuple(BASIC_HEADERS)), event_type)
+    tags = F.when(F.size("tags") > 0, F.array_join(F.array_sort("tags"), ", "))
+    return full.withColumn("tags", tags).select(*ENHANCED_HEADERS)
+
+
 def with_headers(rows: DataFrame) -> DataFrame:
     return rows.select(*[F.col(c).alias(ENHANCED_HEADERS[c]) for c in rows.columns])
 

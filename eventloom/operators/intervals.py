@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.calendar import minute_of_day, strict_date, untimed
+from ..session import cut_lineage
 from ..vocab import DAY_MICROS, EVENT_MINUTES, MINUTE_MICROS
 from .pairing import spread_join
 
@@ -76,6 +77,37 @@ def overlap_degrees(events: DataFrame, keys: list[str], across_midnight: bool =
     )
 
 
+def islands(events: DataFrame, keys: list[str], across_midnight: bool = True) -> DataFrame:
+    """For each (keys, day, minute, all_day): ``island``, where the chain of overlapping events begins that the slot belongs to.
+
+    Ordered by start, a slot begins an island if it starts no earlier than all before it have ended. Ends are carried on in two
+    steps, so no task sees more of a key than one day's slots or one row for each of its days: inside a day, and from the
+    day before, whose events are the only ones that can reach into it. Without ``across_midnight`` days stand alone.
+    """
+    start = f"day * {DAY_MICROS} + minute * {MINUTE_MICROS}L"
+    length = f"IF(all_day, {DAY_MICROS - 1}L, {EVENT_MINUTES * MINUTE_MICROS}L)"
+    slots = _slots(events, keys).withColumn("start", F.expr(start)).withColumn("end", F.expr(f"start + {length}"))
+    slots = cut_lineage(slots.drop("events"))
+    day_before = F.col("last_day") == F.col("day") - 1
+    of_key = Window.partitionBy(*keys).orderBy("day")
+    reached = slots.groupBy(*keys, "day").agg(F.max("end").alias("reach"))
+    reached = reached.withColumns({"last_day": F.lag("day").over(of_key), "last_reach": F.lag("reach").over(of_key)})
+    carried = F.when(day_before, F.col("last_reach")) if across_midnight else F.lit(None).cast("bigint")
+    in_day = Window.partitionBy(*keys, "day").orderBy("start", "end", "all_day")
+    before = F.max("end").over(in_day.rowsBetween(Window.unboundedPreceding, -1))
+    opened = slots.join(reached.select(*keys, "day", carried.alias("carried")), [*keys, "day"])
+    reach = F.greatest(before, F.col("carried"))
+    opened = opened.withColumn("opens", F.when(reach.isNull() | (F.col("start") >= reach), F.col("start")))
+    opened = opened.withColumn("island", F.max("opens").over(in_day))
+    if across_midnight:
+        # An island that reaches into the day began at the last opening of an earlier one.
+        last = opened.groupBy(*keys, "day").agg(F.max("opens").alias("opens"))
+        earlier = F.max("opens").over(of_key.rowsBetween(Window.unboundedPreceding, -1))
+        opened = opened.join(last.select(*keys, "day", earlier.alias("earlier")), [*keys, "day"])
+        opened = opened.withColumn("island", F.coalesce("island", "earlier"))
+    return opened.select(*keys, "day", "minute", "all_day", "island")
+
+
 def pair_count(degrees: DataFrame) -> DataFrame:
     """One row ``pairs``: the number of overlapping pairs behind the degrees."""
     total = F.coalesce(F.sum(F.col("events") * F.col("others")), F.lit(0))

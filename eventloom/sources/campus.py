@@ -14,17 +14,27 @@ KIND_TITLES = {
 TEXT_COLUMNS = {"title", "description"}
 
 
-def campus_events(spark: SparkSession, sf_dir: str, *columns: str, since: str | None = None) -> DataFrame:
+def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``doc_id, text``, dealt out: the table is a single file; what is done with the texts should not be left to one task."""
+    texts = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
+    return texts.repartition(spark.sparkContext.defaultParallelism)
+
+
+def campus_events(
+    spark: SparkSession, sf_dir: str, *columns: str, since: str | None = None, until: str | None = None
+) -> DataFrame:
     """Events view over ``events`` and ``documents``.
 
     ``columns`` limits the output; the documents side is read only when a text column is asked for (event n has document n modulo
-    the number of documents, so leaving the left join out changes no row). ``since`` is a date before which the caller
-    wants no rows; it reaches the scan.
+    the number of documents, so leaving the left join out changes no row). ``since`` is a date before which, ``until`` one from which
+    on the caller wants no rows; both reach the scan.
     """
     wanted = columns or ("id", "title", "description", "date", "time", "location", "link")
     events = spark.read.parquet(f"{sf_dir}/events.parquet").select("event_id", "ts", "user_id", "event_type")
     if since:
         events = events.filter(F.col("ts") >= F.lit(since).cast(events.schema["ts"].dataType))
+    if until:
+        events = events.filter(F.col("ts") < F.lit(until).cast(events.schema["ts"].dataType))
     needs_text = TEXT_COLUMNS & set(wanted)
     if needs_text:
         documents = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")

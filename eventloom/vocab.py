@@ -64,6 +64,7 @@ KEY_ELEMENTS = {
     "location": ["room", "building", "hall", "center"],
     "contact": ["contact", "email", "phone", "information"],
 }
+MOST_TAGS = 10
 KEY_ELEMENT_MISSING = "Add {element} information to the description."
 KEYWORD_HINT = "Consider emphasizing these key terms: "
 DETAILS_HEADING = "\n\nEvent Details:"
