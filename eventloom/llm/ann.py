@@ -2,7 +2,8 @@
 
 A vector is rotated at random (the same rotation for all) and kept as one bit per dimension with two scalars: its norm, and the
 inner product of its direction with the code's. From bits and scalars the inner product with a query is estimated together
-with a bound of the error; only vectors whose upper bound reaches the k-th best lower bound are compared in full.
+with a bound of the error. Of each block the vectors of the best estimates are compared in full; their k-th best score is what the
+upper bound of any other vector has to reach to be compared too.
 Queries and vectors meet in blocks. Of equal vectors no more than k + 1 rows, those of the smallest ids, can be among
 the nearest, so a vector with very many copies is indexed by these.
 """
@@ -20,6 +21,8 @@ from .common import materialize
 
 #: Width of the error bound in standard deviations of the estimate.
 BOUND = 3.5
+#: Vectors of the best estimates that set what others have to reach, for each one asked for.
+FIRST = 4
 BLOCK_VECTORS = 16_384
 BLOCK_QUERIES = 4_096
 SEED = 7
@@ -49,17 +52,38 @@ def encode(vectors: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return np.packbits(turned > 0, axis=1), norms, agreement
 
 
+class Codes:
+    """Codes of a block, unpacked once for all queries."""
+
+    def __init__(self, bits: np.ndarray, norms: np.ndarray, agreement: np.ndarray):
+        signs = np.unpackbits(bits, axis=1).astype(np.float32) * 2 - 1
+        size = signs.shape[1]
+        # The code's direction, as long as its vector is along it.
+        self.directions = (signs * (norms / agreement / np.sqrt(size)).astype(np.float32)[:, None]).T
+        spread = norms * np.sqrt(np.maximum(1 - agreement**2, 0)) / agreement * (BOUND / np.sqrt(size - 1))
+        # Single precision adds its own error.
+        self.spread = (spread + 1e-5 * norms).astype(np.float32)
+
+    def estimate(self, queries: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Estimated inner products and the half-widths of their bounds; a row for each query."""
+        length = np.sqrt((queries**2).sum(1)).astype(np.float32)
+        return rotated(queries).astype(np.float32) @ self.directions, length[:, None] * self.spread[None, :]
+
+
 def estimate(bits: np.ndarray, norms: np.ndarray, agreement: np.ndarray, queries: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Estimated inner products and the half-widths of their bounds; a row for each query."""
-    turned = rotated(queries)
-    size = turned.shape[1]
-    signs = (np.unpackbits(bits, axis=1)[:, :size].astype(np.float32) * 2 - 1) / np.sqrt(np.float32(size))
-    scale = (norms / agreement).astype(np.float32)
-    guess = turned.astype(np.float32) @ signs.T * scale
-    spread = norms * np.sqrt(np.maximum(1 - agreement**2, 0)) / agreement * (BOUND / np.sqrt(size - 1))
-    length = np.sqrt((queries**2).sum(1))
-    # Single precision adds its own error.
-    return guess, length[:, None].astype(np.float32) * (spread + 1e-5 * norms)[None, :].astype(np.float32)
+    return Codes(bits, norms, agreement).estimate(queries)
+
+
+def chosen(guess: np.ndarray, width: np.ndarray, own: np.ndarray, vectors: np.ndarray, queries: np.ndarray, k: int) -> np.ndarray:
+    """For each query the vectors that may be among its k nearest: whose upper bound reaches a score that k of them have."""
+    if guess.shape[1] <= FIRST * k + 1:
+        return ~own
+    guess = np.where(own, -np.inf, guess)
+    first = np.argpartition(guess, -FIRST * k, axis=1)[:, -FIRST * k :]
+    scores = np.einsum("qnd,qd->qn", vectors[first], queries)
+    scores[np.take_along_axis(own, first, axis=1)] = -np.inf
+    least = np.partition(scores, -k, axis=1)[:, -k]
+    return (guess + width >= least[:, None]) & ~own
 
 
 def _vectors(column: pa.ChunkedArray, size: int) -> np.ndarray:
@@ -123,17 +147,16 @@ def search(vectors: DataFrame, k: int = 20, every: int = 20, vec_id: str = "vec_
         bits = np.frombuffer(b"".join(there["bits"].to_pylist()), np.uint8).reshape(len(ids), -1)
         norms, agreement = np.asarray(there["norm"]), np.asarray(there["agreement"])
         query_ids, query_vectors = np.asarray(asked["vec_id"]), _vectors(asked["embedding"], dimension)
-        out = []
+        codes, out = Codes(bits, norms, agreement), []
         for part in range(0, len(query_ids), 128):
-            guess, width = estimate(bits, norms, agreement, query_vectors[part : part + 128])
+            asked_vectors = query_vectors[part : part + 128]
             own = query_ids[part : part + 128, None] == ids[None, :]
-            low, high = np.where(own, -np.inf, guess - width), np.where(own, -np.inf, guess + width)
-            least = np.partition(low, -k, axis=1)[:, -k] if len(ids) > k else np.full(len(low), -np.inf)
+            near = chosen(*codes.estimate(asked_vectors), own, vectors_, asked_vectors, k)
             for i, query in enumerate(query_ids[part : part + 128]):
-                chosen = np.flatnonzero((high[i] >= least[i]) & ~own[i])
-                scores = (vectors_[chosen] * query_vectors[part + i]).sum(1)
-                best = np.lexsort((ids[chosen], -scores))[:k]
-                out.append((np.full(len(best), query), ids[chosen][best], scores[best]))
+                some = np.flatnonzero(near[i])
+                scores = (vectors_[some] * asked_vectors[i]).sum(1)
+                best = np.lexsort((ids[some], -scores))[:k]
+                out.append((np.full(len(best), query), ids[some][best], scores[best]))
         return pa.table([pa.array(np.concatenate([o[c] for o in out])) for c in range(3)], names=names)
 
     met = both.groupBy("size", "block", "query_block").applyInArrow(compare, "query_id long, vec_id long, score double")

@@ -67,6 +67,43 @@ def without(left: DataFrame, right: DataFrame, keys: list[str], rows: str) -> Da
     return left.join(F.broadcast(hot.select(*keys)), keys, "left_anti").join(others.select(*keys), keys, "left_anti")
 
 
+def dealt(rows: DataFrame, blocks: int, block_bytes: int) -> DataFrame:
+    """``rows (doc_id, text, …)`` with ``drawn``, a hash that deals them out, and ``block``, one of ``blocks``.
+
+    Copies of a text under one id share their hash; where such copies would overfill a block, each is dealt out by a number of its own.
+    """
+    name = F.xxhash64("doc_id", "text")
+    sizes = rows.select(name.alias("name"), F.octet_length("text").alias("bytes")).groupBy("name").agg(
+        F.count("*").alias("rows"), F.sum("bytes").alias("bytes")
+    )
+    many = materialize(sizes.filter((F.col("rows") > 1) & (F.col("bytes") > block_bytes)).drop("bytes"))
+    named = rows.withColumn("name", name)
+    if many.head(1):
+        # Stored, so that the numbers stay the same whenever the rows are read.
+        copies = materialize(lookup(named, many, ["name"], "rows").withColumn("copy", F.monotonically_increasing_id()))
+        others = without(named, many, ["name"], "rows").withColumn("copy", F.lit(-1).cast("long"))
+        named = others.unionByName(copies).withColumn("name", F.xxhash64("name", "copy")).drop("copy")
+    return named.withColumnRenamed("name", "drawn").withColumn("block", F.pmod(F.col("drawn"), F.lit(blocks)).cast("int"))
+
+
+def bit_table(keys: DataFrame, column: str, bits: int) -> np.ndarray:
+    """One bit for each value of the leading ``bits`` bits of a 64-bit column: built in parts by tasks, of the same size whatever the data."""
+    of_chunk = min(20, bits - 3)
+    bit = F.shiftrightunsigned(column, 64 - bits)
+    marked = keys.select(F.shiftright(bit, of_chunk).cast("int").alias("chunk"), bit.bitwiseAND((1 << of_chunk) - 1).cast("int").alias("bit"))
+
+    def fill(table: pa.Table) -> pa.Table:
+        there = np.zeros(1 << of_chunk, bool)
+        there[np.asarray(table["bit"])] = True
+        return pa.table({"chunk": table["chunk"].slice(0, 1), "bits": pa.array([np.packbits(there, bitorder="little").tobytes()], pa.binary())})
+
+    out = np.zeros(1 << (bits - 3), np.uint8)
+    size = 1 << (of_chunk - 3)
+    for r in marked.distinct().groupBy("chunk").applyInArrow(fill, "chunk int, bits binary").toLocalIterator():
+        out[r["chunk"] * size : (r["chunk"] + 1) * size] = np.frombuffer(r["bits"], np.uint8)
+    return out
+
+
 def utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """Bytes of all texts end to end, and where each begins (one more entry than texts); nulls are empty."""
     column = column.cast(pa.large_binary())

@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import SPACES, pair_hash, pieces, utf8, word_hashes
+from .common import SPACES, bit_table, materialize, pair_hash, pieces, utf8, word_hashes
 
 WINDOW = 20
 LEAST_SIMILARITY = 0.8
@@ -77,16 +77,29 @@ def _item_masks(length: int) -> list[int]:
     return [len(MASKS) + len(SHORT_MASKS) + length - 1]
 
 
+def whole_hashes(hashes: np.ndarray, first: np.ndarray, length: np.ndarray) -> np.ndarray:
+    """Hash of all words of each text in order; 0 for a text without words."""
+    place = np.arange(len(hashes)) - np.repeat(first, length)
+    out = np.zeros(len(length), np.uint64)
+    some = np.flatnonzero(length)
+    if len(some):
+        out[some] = np.add.reduceat(pair_hash(place.astype(np.uint64), hashes), first[some])
+    return out
+
+
 def item_seeds(items: DataFrame) -> DataFrame:
-    """``seed, item_id, place, length, around`` of all items; items of the same words count once, under their smallest id."""
+    """``seed, place, length, around`` of all items; ``class_1, class_2``, which name these four; ``item_id`` and ``whole``, a hash of
+    the item's words. Items that hold the same words around the same place share a class there.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         masks = all_masks()
         for batch in pieces(batches, "text"):
-            ids = batch.column("item_id").to_numpy(zero_copy_only=False)
+            ids = batch.column("item_id")
             hashes, owner = words(batch.column("text"))
             length = np.bincount(owner, minlength=len(ids))
             first = np.searchsorted(owner, np.arange(len(ids)))
+            whole = whole_hashes(hashes, first, length).view(np.int64)
             for number, mask in enumerate(masks):
                 used = np.array([number in _item_masks(int(n)) if n else False for n in length], bool)
                 key, place = seeds(hashes, owner, mask, number)
@@ -98,33 +111,36 @@ def item_seeds(items: DataFrame) -> DataFrame:
                 yield pa.record_batch(
                     [
                         pa.array(key.view(np.int64)),
-                        pa.array(ids[of], pa.int64()),
+                        ids.take(pa.array(of)),
                         pa.array(place - first[of], pa.int32()),
                         pa.array(length[of], pa.int32()),
                         contexts(hashes, owner, place, _NONE_RIGHT),
+                        pa.array(whole[of]),
                     ],
-                    names=["seed", "item_id", "place", "length", "around"],
+                    names=["seed", "item_id", "place", "length", "around", "whole"],
                 )
 
-    found = items.select(F.col("item_id").cast("long").alias("item_id"), "text").filter("item_id IS NOT NULL")
-    rows = found.mapInArrow(run, "seed long, item_id long, place int, length int, around binary")
-    return rows.groupBy("seed", "place", "length", "around").agg(F.min("item_id").alias("item_id"))
+    found = items.select(F.col("item_id").cast("long").alias("item_id"), "text")
+    rows = found.mapInArrow(run, "seed long, item_id long, place int, length int, around binary, whole long")
+    name = lambda i: F.xxhash64(F.lit(i), "seed", "place", "length", "around").alias(f"class_{i}")
+    return rows.select("*", name(1), name(2))
 
 
 def leaks(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """One row per document that leaks an item: ``doc_id, item_id, n_equal, n_window, similarity, word``.
 
     ``similarity`` is that of the best window (equal words, of ``n_window``), ``word`` where its alignment first hits in the
-    document. Null and empty texts leak nothing; rows of one id are one document; a null id is an id of its own; items of equal
-    words are reported under the smallest id; an item without words or without an id is left out. Other columns are not read.
+    document. Null and empty texts leak nothing; rows of one id are one document; a null id is an id of its own, of a document as of
+    an item. Every item that a document leaks is reported, also where items share the passage; items of equal words are one, under their
+    smallest id, and one without words is leaked by none. Other columns are not read.
     """
-    known = item_seeds(items)
-    spark = docs.sparkSession
-    # One bit for each value of a seed's leading bits: at most 2 ** TABLE_BITS / 8 bytes, whatever the benchmark's size.
-    leading = known.select(F.shiftrightunsigned("seed", 64 - TABLE_BITS).cast("int").alias("bit")).distinct().toArrow()["bit"].to_numpy()
-    bits = np.zeros(1 << (TABLE_BITS - 3), np.uint8)
-    np.bitwise_or.at(bits, leading >> 3, (1 << (leading & 7)).astype(np.uint8))
-    can_occur = spark.sparkContext.broadcast(bits)
+    known = materialize(item_seeds(items))
+    names = ["class_1", "class_2"]
+    # Each class is compared once; what it finds is every member's.
+    ids = known.groupBy("whole", "length").agg(F.min("item_id").alias("item_id"))
+    members = known.select(*names, "whole", "length").distinct().join(ids, ["whole", "length"]).select(*names, "item_id")
+    classes = known.drop("item_id", "whole").dropDuplicates(names)
+    can_occur = docs.sparkSession.sparkContext.broadcast(bit_table(known, "seed", TABLE_BITS))
     lengths = {r[0] for r in known.select(F.least("length", F.lit(WINDOW))).distinct().collect()}
     numbers = sorted({m for n in lengths for m in _item_masks(n)})
 
@@ -154,7 +170,7 @@ def leaks(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", text: str =
     hits = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text")).mapInArrow(
         run, "seed long, doc_id long, word long, seen binary"
     )
-    met = hits.join(known, "seed").select("doc_id", "item_id", "word", "place", "length", "seen", "around")
+    met = hits.join(classes, "seed").select("doc_id", *names, "word", "place", "length", "seen", "around")
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -174,14 +190,18 @@ def leaks(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", text: str =
                 best[rows] = np.where((start >= 0) & (start + n <= length[rows][:, None]), sums, 0).max(1)
             least = np.where(window < LEAST_WORDS, window, np.ceil(window * LEAST_SIMILARITY - 1e-9))
             good = pa.array(best >= least)
-            yield pa.record_batch(
-                [*(batch.column(c) for c in ("doc_id", "item_id", "word")), pa.array(best), pa.array(window)],
-                names=["doc_id", "item_id", "word", "n_equal", "n_window"],
-            ).filter(good)
+            kept = ["doc_id", *names, "word"]
+            found = [*(batch.column(c) for c in kept), pa.array(best), pa.array(window)]
+            yield pa.record_batch(found, names=[*kept, "n_equal", "n_window"]).filter(good)
+
+    def best(found: DataFrame, *keys: str) -> DataFrame:
+        return found.groupBy("doc_id", *keys).agg(
+            F.max("n_equal").alias("n_equal"), F.max("n_window").alias("n_window"), F.min("word").alias("word")
+        )
 
+    schema = "doc_id long, class_1 long, class_2 long, word long, n_equal long, n_window long"
     return (
-        met.mapInArrow(verify, "doc_id long, item_id long, word long, n_equal long, n_window long")
-        .groupBy("doc_id", "item_id")
-        .agg(F.max("n_equal").alias("n_equal"), F.max("n_window").alias("n_window"), F.min("word").alias("word"))
+        best(best(met.mapInArrow(verify, schema), *names).join(members, names), "item_id")
+        .select("doc_id", "item_id", "n_equal", "n_window", "word")
         .withColumn("similarity", F.col("n_equal") / F.col("n_window"))
     )

@@ -112,17 +112,21 @@ class LanguageFilter:
 
 
 def fit(train: DataFrame, text: str = "text", lang: str = "lang") -> LanguageFilter | None:
-    """Fits the filters; None if no row has a language.
+    """Fits the filters; None if no row has a language and a text.
 
-    The sample of a language is drawn by a hash of the text, in proportion, so that ``SAMPLE_DOCS`` rows are expected of each.
+    The sample of a language is drawn from its distinct texts, in proportion, so that ``SAMPLE_DOCS`` are expected of each: copies neither
+    crowd the sample nor keep a language out of it, and a language of few texts gives them all.
     """
     rows = train.select(F.col(text).alias("text"), F.col(lang).alias("lang")).filter("lang IS NOT NULL AND text IS NOT NULL")
-    counts = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count("*").alias("n")).collect()}
+    named = rows.withColumn("name", F.xxhash64(F.lit("language sample"), "text"))
+    distinct = named.select("lang", "name").distinct()
+    counts = {r["lang"]: r["n"] for r in distinct.groupBy("lang").agg(F.count("*").alias("n")).collect()}
     if not counts:
         return None
     rates = F.create_map(*[F.lit(x) for lang, n in counts.items() for x in (lang, min(1.0, SAMPLE_DOCS / n))])
-    point = F.pmod(F.xxhash64(F.lit("language sample"), "text"), F.lit(1_000_000)) / 1e6
-    sample = rows.filter(point < F.element_at(rates, F.col("lang")))
+    point = F.pmod(F.col("name"), F.lit(1_000_000)) / 1e6
+    # Drawn by the hash first, then one row of each text: what is left to compare is small.
+    sample = named.filter(point < F.element_at(rates, F.col("lang"))).dropDuplicates(["lang", "name"]).select("text", "lang")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in pieces(batches, "text"):
@@ -146,14 +150,16 @@ def fit(train: DataFrame, text: str = "text", lang: str = "lang") -> LanguageFil
     return LanguageFilter({language: keys[langs == language] for language in counts})
 
 
-def identify(docs: DataFrame, model: LanguageFilter | None, text: str = "text") -> DataFrame:
-    """Adds ``lang_pred`` and ``score`` to every row, in place of columns of these names.
+def identify(
+    docs: DataFrame, model: LanguageFilter | None, text: str = "text", lang_pred: str = "lang_pred", score: str = "score"
+) -> DataFrame:
+    """Adds ``lang_pred`` and ``score`` (or as they are called) to every row, in place of columns of these names.
 
     ``score`` is the share of the text's n-grams that the language contains, corrected for chance. A null text, a text
     without a letter, or a missing model gives ``und`` and 0. The first language in order wins a tie.
     """
-    docs = docs.drop("lang_pred", "score")
-    schema = T.StructType([*docs.schema.fields, T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())])
+    docs = docs.drop(lang_pred, score)
+    schema = T.StructType([*docs.schema.fields, T.StructField(lang_pred, T.StringType()), T.StructField(score, T.DoubleType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in pieces(batches, text):
@@ -161,7 +167,7 @@ def identify(docs: DataFrame, model: LanguageFilter | None, text: str = "text")
             names, scores = model.decide(texts) if model else ([UNDECIDED] * len(texts), np.zeros(len(texts)))
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns, pa.array(names, pa.string()), pa.array(scores, pa.float64())],
-                names=[*batch.schema.names, "lang_pred", "score"],
+                names=[*batch.schema.names, lang_pred, score],
             )
 
     return docs.mapInArrow(run, schema)

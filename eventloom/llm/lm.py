@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize, mix, pair_hash, partitions, utf8, word_hashes
+from .common import dealt, materialize, mix, pair_hash, partitions, utf8, word_hashes
 
 #: Bytes of text in a block, and of text for each hash range.
 BLOCK_BYTES, RANGE_BYTES = 8_000_000, 16_000_000
@@ -65,13 +65,29 @@ def _keys(texts: pa.Array) -> tuple[np.ndarray, ...]:
     return words, at_word, pairs, at_pair, before, owner
 
 
+def add_up(keys: list[bytes], counts: list[bytes]) -> tuple[list[bytes], bool, int, int]:
+    """For each block's sorted keys of a range their counts over all blocks, in the order asked; whether they take 64 bits
+    each, and how many keys have a count, and their sum."""
+    sizes = [len(k) // 8 for k in keys]
+    distinct, at = np.unique(np.frombuffer(b"".join(keys), np.uint64), return_inverse=True)
+    sums = np.zeros(len(distinct), np.int64)
+    np.add.at(sums, at, np.frombuffer(b"".join(counts), "<u4").astype(np.int64))
+    wide = bool(sums.max(initial=0) >= 1 << 32)
+    given, cuts = sums.astype("<u8" if wide else "<u4")[at], np.cumsum([0, *sizes])
+    return [given[a:b].tobytes() for a, b in zip(cuts[:-1], cuts[1:])], wide, int((sums > 0).sum()), int(sums.sum())
+
+
 class _Answers:
     """Counts of a block's words and bigrams, put together from the answers of all ranges."""
 
     def __init__(self, answers: pa.Table):
         order = np.argsort(np.asarray(answers["range"]))
-        parts = {c: answers[c].to_pylist() for c in ("words", "pairs")}
-        self.words, self.pairs = (np.frombuffer(b"".join(parts[c][i] for i in order), "<u4").astype(np.int64) for c in ("words", "pairs"))
+        self.words, self.pairs = (self.read(answers[c].to_pylist(), answers[f"wide_{c}"].to_pylist(), order) for c in ("words", "pairs"))
+
+    @staticmethod
+    def read(given: list[bytes], wide: list[bool], order: np.ndarray) -> np.ndarray:
+        parts = [np.frombuffer(given[i], "<u8" if wide[i] else "<u4").astype(np.int64) for i in order]
+        return np.concatenate([np.zeros(0, np.int64), *parts])
 
 
 def _bucket(seen: np.ndarray) -> np.ndarray:
@@ -118,12 +134,12 @@ def score(docs: DataFrame, held_out: Column, doc_id: str = "doc_id", text: str =
     total = rows.agg(F.sum(F.octet_length("text") + 1)).head()[0] or 1
     blocks = max(1, -(-total // BLOCK_BYTES))
     ranges = int(max(partitions(spark), -(-total // RANGE_BYTES)))
-    drawn = F.xxhash64("doc_id", "text")
+    rows, drawn = dealt(rows, blocks, BLOCK_BYTES), F.col("drawn")
     deleted = ~F.col("held_out") & (F.pmod(F.shiftrightunsigned(drawn, 33), F.lit(DELETED)) == 0)
     # Texts for the weights have blocks of their own, so that learning reads those alone.
     of_deleted = max(1, blocks // DELETED)
     block = F.when(deleted, F.pmod(drawn, F.lit(of_deleted))).otherwise(of_deleted + F.pmod(drawn, F.lit(blocks)))
-    rows = rows.withColumn("block", block.cast("int"))
+    rows = rows.withColumn("block", block.cast("int")).drop("drawn")
 
     def ask(table: pa.Table) -> pa.Table:
         words, at_word, pairs, at_pair, _, owner = _keys(_text(table))
@@ -149,30 +165,24 @@ def score(docs: DataFrame, held_out: Column, doc_id: str = "doc_id", text: str =
 
     def answer(table: pa.Table) -> pa.Table:
         out = {"block": table["block"], "range": table["range"]}
-        stats = {}
         for name in ("words", "pairs"):
-            keys, counts = table[name].to_pylist(), table[f"n_{name}"].to_pylist()
-            sizes = [len(k) // 8 for k in keys]
-            distinct, at = np.unique(np.frombuffer(b"".join(keys), np.uint64), return_inverse=True)
-            sums = np.bincount(at, np.frombuffer(b"".join(counts), "<u4"), len(distinct)).astype(np.int64)
-            given, cuts = np.minimum(sums, 2**32 - 1).astype("<u4")[at], np.cumsum([0, *sizes])
-            out[name] = pa.array([given[a:b].tobytes() for a, b in zip(cuts[:-1], cuts[1:])], pa.binary())
-            stats[name] = int((sums > 0).sum()), int(sums.sum())
-        once = np.zeros(table.num_rows, np.int64)
-        for k, name in enumerate(("distinct", "total")):
-            column = once.copy()
-            column[0] = stats["words"][k]
-            out[name] = pa.array(column)
-        return pa.table(out)
+            given, wide, distinct, total = add_up(table[name].to_pylist(), table[f"n_{name}"].to_pylist())
+            out[name], out[f"wide_{name}"] = pa.array(given, pa.binary()), pa.array([wide] * len(given))
+            if name == "words":
+                once = np.zeros((2, len(given)), np.int64)
+                once[:, 0] = distinct, total
+        return pa.table(out | {"distinct": pa.array(once[0]), "total": pa.array(once[1])})
 
     answers = materialize(
-        asked.groupBy("range").applyInArrow(answer, "block int, range int, words binary, pairs binary, distinct long, total long")
+        asked.groupBy("range").applyInArrow(
+            answer, "block int, range int, words binary, wide_words boolean, pairs binary, wide_pairs boolean, distinct long, total long"
+        )
     )
     sizes = answers.agg(F.sum("distinct"), F.sum("total")).head()
     distinct, train_tokens = int(sizes[0] or 0), int(sizes[1] or 0)
     train_texts = rows.filter(~F.col("held_out")).count()
     uniform = 1 / (distinct + 1)
-    given = answers.select("block", "range", "words", "pairs")
+    given = answers.select("block", "range", "words", "wide_words", "pairs", "wide_pairs")
 
     def estimates(texts: pa.Array, answers_: pa.Table, less: int) -> tuple[np.ndarray, ...]:
         """Owner, count of the token, count of what is before it, both estimates; ``less`` is taken off each count."""

@@ -1,9 +1,11 @@
 """Packing of tokenised documents into windows of fixed length.
 
-Whole windows are cut from each document; what remains is shorter than a window. Shallow combinations of two or three such
-lengths that fill a window exactly are enumerated, their repeat counts are the non-negative least-squares fit to the histogram
-of lengths, and the rounded counts say which documents share a window. What is left over is laid end to end and cut at
-window borders, so that one window at most is padded. The driver sees the histogram alone, a number per length.
+Whole windows are cut from each document; what remains is shorter than a window. Combinations of two or three such
+lengths that fill a window exactly are enumerated, all of them, and their repeat counts are the non-negative least-squares fit to the
+histogram of lengths. The fit grows by columns: combinations are priced by what the histogram has left over, the best-priced join
+the fit, and it ends when none would improve it. The rounded counts say which documents share a window. What is left over is
+laid end to end and cut at window borders, so that one window at most is padded. The driver sees the histogram alone, a
+number per length.
 """
 
 from __future__ import annotations
@@ -27,11 +29,10 @@ from .common import materialize, pieces
 WINDOW = 1024
 END = 0
 TOKENIZER, RANKS = "byte_bpe_50k.json", "byte_bpe_50k.tiktoken"
-#: Lengths of one member of a combination of three are multiples of this; it sets the number of combinations, nothing else.
-GRID = 64
-SWEEPS = 12
-#: Fits of what rounding has left over.
-ROUNDS = 5
+#: Combinations that join the fit at once.
+JOINING = 256
+#: The fit of the combinations at hand ends when a sweep moves counts by less than this share of all lengths.
+STILL = 1e-4
 #: Rows numbered in one task.
 BUCKET_ROWS = 50_000
 
@@ -59,53 +60,65 @@ class TextIds:
 
 
 def combinations(window: int, present: np.ndarray) -> list[tuple[int, ...]]:
-    """Two or three lengths in ascending order that fill the window, of those present."""
-    there = set(np.flatnonzero(present).tolist())
-    out = {(a, window - a) for a in range(1, window // 2 + 1) if {a, window - a} <= there}
-    for a in there:
-        for b in range(GRID, window - a, GRID):
-            c = window - a - b
-            if b in there and c in there:
-                out.add(tuple(sorted((a, b, c))))
-    return sorted(out)
-
-
-def _fit(histogram: np.ndarray, parts: list[tuple[tuple[int, int], ...]]) -> np.ndarray:
-    """Repeat counts by non-negative least squares, by cyclic coordinate descent."""
-    left = histogram.astype(float)
-    fit = np.zeros(len(parts))
-    for _ in range(SWEEPS):
+    """All combinations of two or three lengths in ascending order that fill the window, of those present."""
+    there = present > 0
+    a, b = np.divmod(np.arange(window * window), window)
+    rows = np.stack([a, b, window - a - b], 1)[(a <= b) & (a + 2 * b <= window) & (b > 0)]
+    rows = rows[(there[rows] | (rows == 0)).all(1)]
+    return [tuple(row[row[0] == 0 :]) for row in rows.tolist()]
+
+
+def _refit(left: np.ndarray, fit: dict[int, float], combos: np.ndarray, least: float) -> None:
+    """Non-negative least squares over the combinations in ``fit``, by cyclic coordinate descent; ``left`` is what they leave."""
+    parts = [(i, *np.unique(combos[i][combos[i] > 0], return_counts=True)) for i in fit]
+    parts = [(i, x.tolist(), m.tolist(), sum(m * m)) for i, x, m in parts]
+    moved = np.inf
+    while moved > least:
         moved = 0.0
-        for i, part in enumerate(parts):
-            step = sum(m * left[x] for x, m in part) / sum(m * m for _, m in part)
-            step = max(step, -fit[i])
+        for i, lengths, times, square in parts:
+            step = max(sum(m * left[x] for x, m in zip(lengths, times)) / square, -fit[i])
             if step:
                 fit[i] += step
                 moved += abs(step)
-                for x, m in part:
+                for x, m in zip(lengths, times):
                     left[x] -= m * step
-        if moved < 1e-3 * max(1.0, float(histogram.sum())):
-            break
-    return fit
+
+
+def fitted(histogram: np.ndarray, combos: np.ndarray) -> dict[int, float]:
+    """Repeat counts of the combinations that the least-squares fit uses.
+
+    A combination's price is the gradient of the fit, the sum of what is left of its lengths. Those of the highest prices join until no
+    price would gain a whole window.
+    """
+    left, fit = histogram.astype(float), {}
+    left[0] = 0.0
+    least = STILL * max(1.0, float(histogram.sum()))
+    while True:
+        price = left[combos].sum(1) / (combos > 0).sum(1)
+        price[list(fit)] = 0.0
+        best = np.argsort(-price, kind="stable")[:JOINING]
+        best = best[price[best] >= 1.0]
+        if not len(best):
+            return fit
+        fit.update((int(i), 0.0) for i in best)
+        _refit(left, fit, combos, least)
 
 
 def repeat_counts(histogram: np.ndarray, combos: list[tuple[int, ...]]) -> np.ndarray:
     """How often each combination is used: fitted, rounded and held to the lengths at hand, then again on what is left."""
-    parts = [tuple((x, combo.count(x)) for x in sorted(set(combo))) for combo in combos]
-    at_hand = histogram.astype(np.int64).copy()
-    counts = np.zeros(len(combos), np.int64)
-    for _ in range(ROUNDS):
-        usable = [i for i, part in enumerate(parts) if all(at_hand[x] >= m for x, m in part)]
-        before = int(counts.sum())
-        fit = _fit(at_hand, [parts[i] for i in usable])
-        for k in np.argsort(-fit, kind="stable"):
+    rows = np.array([(0,) * (3 - len(c)) + tuple(c) for c in combos], np.int64).reshape(-1, 3)
+    at_hand, counts = histogram.astype(np.int64).copy(), np.zeros(len(rows), np.int64)
+    placed = 1
+    while placed > counts.sum() // 100:
+        usable = np.flatnonzero(((at_hand[rows] >= 1) | (rows == 0)).all(1))
+        placed = 0
+        for k, value in sorted(fitted(at_hand, rows[usable]).items(), key=lambda f: (-f[1], f[0])):
             i = usable[k]
-            n = min(round(fit[k]), *(int(at_hand[x]) // m for x, m in parts[i]))
+            lengths, times = np.unique(rows[i][rows[i] > 0], return_counts=True)
+            n = min(round(value), int((at_hand[lengths] // times).min()))
             counts[i] += n
-            for x, m in parts[i]:
-                at_hand[x] -= m * n
-        if counts.sum() - before < 1 + before // 100:
-            break
+            at_hand[lengths] -= times * n
+            placed += n
     return counts
 
 
@@ -203,14 +216,14 @@ def pack(
 
     combos = combinations(window, histogram)
     slots, taken, sequence = [], np.zeros(window, np.int64), n_full
-    for combo, count in zip(combos, repeat_counts(histogram, combos)):
-        if count := int(count):
-            offset = 0
-            for length in combo:
-                slots.append((length, int(taken[length]), int(taken[length]) + count, int(sequence), offset))
-                taken[length] += count
-                offset += length
-            sequence += count
+    counts = repeat_counts(histogram, combos)
+    for i in np.flatnonzero(counts):
+        offset, count = 0, int(counts[i])
+        for length in combos[i]:
+            slots.append((length, int(taken[length]), int(taken[length]) + count, int(sequence), offset))
+            taken[length] += count
+            offset += length
+        sequence += count
     # At most three rows for each combination of lengths, whatever the data: small enough to send to every task.
     places = F.broadcast(spark.createDataFrame(slots, "slot_length int, low long, high long, first_sequence long, slot_offset long"))
     tails = light.filter("tail_length > 0").select(

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize, mix, partitions, pieces, utf8
+from .common import bit_table, dealt, materialize, mix, partitions, pieces, utf8
 from .windows import Hashes, sliding
 
 LENGTH = 400
@@ -37,7 +37,6 @@ SEGMENT = 1_000_000
 STEP = 32
 #: Bits of the table of sampled strings that occur more than once; a hit by chance only adds work.
 TABLE_BITS = 27
-_CHUNK_BITS = 20
 _SHARED, _COVERED, _WINDOW = 0, 1, 2
 
 
@@ -116,23 +115,6 @@ def _hits(segment: _Segment, bits: np.ndarray) -> np.ndarray:
     return (bits[at >> 3] >> (at & 7).astype(np.uint8)) & 1 > 0
 
 
-def _table(grams: DataFrame) -> np.ndarray:
-    """Bit table of the leading bits of ``gram``: built in parts by tasks, of the same size whatever the data."""
-    bit = F.shiftrightunsigned("gram", 64 - TABLE_BITS)
-    marked = grams.select(F.shiftright(bit, _CHUNK_BITS).cast("int").alias("chunk"), bit.bitwiseAND((1 << _CHUNK_BITS) - 1).cast("int").alias("bit"))
-
-    def fill(table: pa.Table) -> pa.Table:
-        bits = np.zeros(1 << _CHUNK_BITS, bool)
-        bits[np.asarray(table["bit"])] = True
-        return pa.table({"chunk": table["chunk"].slice(0, 1), "bits": pa.array([np.packbits(bits, bitorder="little").tobytes()], pa.binary())})
-
-    out = np.zeros(1 << (TABLE_BITS - 3), np.uint8)
-    size = 1 << (_CHUNK_BITS - 3)
-    for r in marked.distinct().groupBy("chunk").applyInArrow(fill, "chunk int, bits binary").toLocalIterator():
-        out[r["chunk"] * size : (r["chunk"] + 1) * size] = np.frombuffer(r["bits"], np.uint8)
-    return out
-
-
 class _Asked(NamedTuple):
     """Names of a block: sorted, how often each occurs there (two stands for more), and a value that goes with it."""
 
@@ -232,8 +214,8 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, doc_id: str = "doc_id"
 
     long_enough = rows.filter(F.octet_length("text") >= length)
     twice = long_enough.select("text").mapInArrow(sample, "gram long").groupBy("gram").agg(F.count("*").alias("n")).filter("n > 1")
-    table = spark.sparkContext.broadcast(_table(twice))
-    rows = rows.withColumn("block", F.pmod(F.xxhash64("doc_id", "text"), F.lit(blocks)).cast("int"))
+    table = spark.sparkContext.broadcast(bit_table(twice, "gram", TABLE_BITS))
+    rows = dealt(rows, blocks, BLOCK_BYTES).drop("drawn")
     long_enough = rows.filter(F.octet_length("text") >= length)
 
     def bins(texts: pa.Table) -> Iterator[tuple[int, _Segment, _Bins]]:

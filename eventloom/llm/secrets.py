@@ -111,17 +111,20 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
 
 
 def candidates(text: str, base: list[tuple[int, int, int]]) -> Iterator[tuple[int, int, float]]:
-    """Start, end and p-value of strings that fit a random source and touch no span of ``base``, whole runs and parts of them."""
+    """Start, end and p-value of all strings tested, which touch no span of ``base``: whole runs and parts of them.
+
+    The p-value is 1 where the statistics don't fit a random source: the string counts as tested, and is not found.
+    """
     k = 0
     for m in CANDIDATE.finditer(text):
         while k < len(base) and base[k][2] <= m.start():
             k += 1
         at, free = m.start(), []
-        for a, _, b in base[k:]:
-            if a >= m.end():
-                break
-            free.append((at, a))
-            at = max(at, b)
+        j = k
+        while j < len(base) and base[j][0] < m.end():
+            free.append((at, base[j][0]))
+            at = max(at, base[j][2])
+            j += 1
         free.append((at, m.end()))
         for start, end in free:
             if end - start < LEAST_LENGTH:
@@ -129,8 +132,8 @@ def candidates(text: str, base: list[tuple[int, int, int]]) -> Iterator[tuple[in
             found = {(start, end), *(p.span() for marks in MARKS for p in marks.finditer(text, start, end))}
             for x, y in sorted(found):
                 tested = battery(text[x:y], mixed=False)
-                if tested and tested[1] >= LEAST_FIT:
-                    yield x, y, tested[0]
+                if tested:
+                    yield x, y, tested[0] if tested[1] >= LEAST_FIT else 1.0
 
 
 def _bin(p: float) -> int:
@@ -151,7 +154,7 @@ def threshold(docs: DataFrame, text: str = "text") -> int:
         yield pa.record_batch({"bin": pa.array(used, pa.int32()), "n": pa.array(counts[used])})
 
     rows = docs.select(F.col(text).alias("text")).mapInArrow(run, "bin int, n long").groupBy("bin").agg(F.sum("n").alias("n")).collect()
-    total, seen, least = sum(r["n"] for r in rows), 0, BINS
+    total, seen, least = sum(r["n"] for r in rows), 0, BINS  # all strings tested
     for r in sorted(rows, key=lambda r: -r["bin"]):
         seen += r["n"]
         if 10 ** (-r["bin"] / BINS_PER_UNIT) <= FALSE_DISCOVERIES * seen / total:
@@ -173,15 +176,16 @@ def spans(text: str | None, least: int) -> list[tuple[int, int, int]]:
     return sorted(out)
 
 
-def scan(docs: DataFrame, text: str = "text") -> DataFrame:
-    """Adds ``secrets``, an array of (kind, start, end) in code points, in place of a column of this name.
+def scan(docs: DataFrame, text: str = "text", into: str = "secrets") -> DataFrame:
+    """Adds ``secrets`` (or ``into``), an array of (kind, start, end) in code points, in place of a column of this name.
 
-    Null and empty texts have an empty array. Repeated rows are found in each.
+    Null and empty texts have an empty array. Repeated rows are found in each. The time a text takes grows with its length and its
+    number of spans, not with their product.
     """
-    docs = docs.drop("secrets")
+    docs = docs.drop(into)
     least = threshold(docs, text)
     kind = T.ArrayType(T.StructType().add("kind", "string").add("start", "long").add("end", "long"))
-    schema = T.StructType([*docs.schema.fields, T.StructField("secrets", kind)])
+    schema = T.StructType([*docs.schema.fields, T.StructField(into, kind)])
     arrow = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64())]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -189,7 +193,7 @@ def scan(docs: DataFrame, text: str = "text") -> DataFrame:
             found = [
                 [{"kind": KINDS[k], "start": a, "end": b} for a, k, b in spans(value, least)] for value in batch.column(text).to_pylist()
             ]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(found, arrow)], names=[*batch.schema.names, "secrets"])
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(found, arrow)], names=[*batch.schema.names, into])
 
     return docs.mapInArrow(run, schema)
 
@@ -205,16 +209,17 @@ def digest(scanned: DataFrame, doc_id: str = "doc_id") -> DataFrame:
     count = lambda kind: F.size(F.filter(found, lambda s: s["kind"] == kind)).cast("long")
     return scanned.select(
         F.col(doc_id).alias("doc_id"),
-        *[count(kind).alias(f"n_{kind}") for kind in KINDS],
+        *[count(kind).alias(f"n_{kind}") for kind in KINDS[:3]],
         F.sha2(joined(F.filter(found, lambda s: s["kind"] != "random")), 256).alias("base_sha256"),
         joined(found).alias("spans"),
+        count(KINDS[3]).alias(f"n_{KINDS[3]}"),
     )
 
 
-def redact(scanned: DataFrame, text: str = "text", mark: str = "[SECRET]") -> DataFrame:
-    """Puts ``mark`` in the text in place of each run of overlapping spans; drops ``secrets``. Other texts stay as they are."""
+def redact(scanned: DataFrame, text: str = "text", mark: str = "[SECRET]", found: str = "secrets") -> DataFrame:
+    """Puts ``mark`` in the text in place of each run of overlapping spans; drops ``found``. Other texts stay as they are."""
     cut = F.aggregate(
-        "secrets",
+        found,
         F.struct(F.lit(0).cast("long").alias("at"), F.lit("").alias("out")),
         lambda acc, s: F.when(s["end"] <= acc["at"], acc)
         .when((s["start"] < acc["at"]), F.struct(s["end"].alias("at"), acc["out"].alias("out")))
@@ -230,4 +235,4 @@ def redact(scanned: DataFrame, text: str = "text", mark: str = "[SECRET]") -> Da
         ),
         lambda acc: F.concat(acc["out"], F.substr(F.col(text), (acc["at"] + 1).cast("int"))),
     )
-    return scanned.withColumn(text, F.when(F.size("secrets") == 0, F.col(text)).otherwise(cut)).drop("secrets")
+    return scanned.withColumn(text, F.when(F.size(found) == 0, F.col(text)).otherwise(cut)).drop(found)

@@ -67,3 +67,13 @@ def test_recall_and_empty(spark):
     rows = [(r.vec_id, r.embedding) for r in spark.read.parquet(f"{sf}/embeddings.parquet").collect()]
     assert agree(op4_ann(spark, sf).collect(), brute(rows)) >= 0.99
     assert ann.search(spark.createDataFrame([], SCHEMA)).count() == 0
+
+
+def test_share_compared_in_full():
+    rng = np.random.default_rng(5)
+    vectors, queries = rng.standard_normal((6000, 64)), rng.standard_normal((40, 64))
+    guess, width = ann.estimate(*ann.encode(vectors), queries)
+    near = ann.chosen(guess, width, np.zeros(guess.shape, bool), vectors, queries, 20)
+    scores = queries @ vectors.T
+    best = np.argsort(-scores, axis=1)[:, :20]
+    assert near.mean() < 0.65 and np.take_along_axis(near, best, axis=1).mean() > 0.99

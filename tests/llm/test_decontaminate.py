@@ -70,3 +70,31 @@ def test_empty_tables(spark, make_docs):
     items = spark.createDataFrame([(1, "one two three four five")], "item_id BIGINT, text STRING")
     assert leaks(make_docs(), items).count() == 0
     assert leaks(make_docs((1, "one two three four five")), items.limit(0)).count() == 0
+
+
+def test_every_item_of_a_shared_passage_against_all_windows(spark, make_docs):
+    rng = random.Random(11)
+    words = [f"v{i}" for i in range(900)]
+    draw = lambda n: [rng.choice(words) for _ in range(n)]
+    shared = draw(120)
+    items = {1: shared + draw(30), 2: shared + draw(30), 3: draw(25), 4: draw(60), 5: shared[30:80], 6: draw(8), 7: shared[40:52], None: draw(30)}
+    docs = {7: draw(50) + shared[40:70] + draw(50), 8: draw(200), 9: items[None], 10: draw(9) + items[6] + draw(9), 11: items[4][:45], 12: []}
+    for i in range(20, 50):
+        body = list(rng.choice([v for v in items.values()]))
+        for j in range(len(body)):
+            if rng.random() < 0.12:
+                body[j] = rng.choice(words)
+        docs[i] = draw(rng.randint(0, 30)) + body[rng.randint(0, 10) :] + draw(rng.randint(0, 30))
+    want = set()
+    for d, text in docs.items():
+        for k, item in items.items():
+            size = min(20, len(item))
+            windows = [item[i : i + size] for i in range(len(item) - size + 1)]
+            places = [text[i : i + size] for i in range(len(text) - size + 1)]
+            best = max((sum(x == y for x, y in zip(w, p)) for w in windows for p in places), default=0)
+            if best >= size * 0.8 - 1e-9:
+                want.add((d, k, best, size))
+    frame = spark.createDataFrame([(k, " ".join(v)) for k, v in items.items()], "item_id BIGINT, text STRING")
+    found = {(r.doc_id, r.item_id, r.n_equal, r.n_window) for r in leaks(make_docs(*[(d, " ".join(t)) for d, t in docs.items()]), frame).collect()}
+    assert {(7, 1), (7, 2), (9, None)} <= {f[:2] for f in found}
+    assert found == want

@@ -57,3 +57,13 @@ def test_held_out_accuracy(spark):
     assert found.filter("held_out <> check").count() == 0
     right = found.filter("held_out").agg(F.avg((F.col("lang") == F.col("lang_pred")).cast("int"))).head()[0]
     assert right > 0.95
+
+
+def test_a_language_of_one_text_and_a_hot_text(spark, make_docs, monkeypatch):
+    monkeypatch.setattr(langid, "SAMPLE_DOCS", 20)
+    one, hot = sample("cc", 60, 1), sample("bb", 60, 2)
+    rows = [(i, one, "cc") for i in range(600)] + [(i, hot, "bb") for i in range(600)]
+    rows += [(i, sample("bb", 40, i), "bb") for i in range(100)] + [(i, sample("aa", 40, i), "aa") for i in range(200)]
+    model = langid.fit(make_docs(*rows))
+    found = langid.identify(make_docs((1, one), (2, hot), (3, sample("aa", 30, 999))), model).orderBy("doc_id").collect()
+    assert [r.lang_pred for r in found] == ["cc", "bb", "aa"] and all(r.score > 0.5 for r in found)

@@ -89,3 +89,29 @@ def test_given_documents(spark):
         assert tuple(r)[:5] == want[r.doc_id][:5] and r.base_score == pytest.approx(want[r.doc_id][5])
     held = [r for r in found if r.held_out]
     assert sum(r.score for r in held) > sum(r.base_score for r in held)
+
+
+def test_counts_above_32_bits():
+    from eventloom.llm.lm import _Answers, add_up
+
+    key = lambda *x: np.array(x, np.uint64).tobytes()
+    count = lambda *x: np.array(x, "<u4").tobytes()
+    most = 2**32 - 1
+    given, wide, distinct, total = add_up([key(1, 2, 9), key(2, 5), key(2)], [count(7, most, 0), count(most, 3), count(4)])
+    assert wide and (distinct, total) == (3, 2 * most + 14)
+    assert [_Answers.read([g], [wide], np.array([0])).tolist() for g in given] == [[7, 2 * most + 4, 0], [2 * most + 4, 3], [2 * most + 4]]
+    narrow = add_up([key(1), key(1)], [count(5), count(6)])
+    assert narrow == ([np.array([11], "<u4").tobytes()] * 2, False, 1, 11)
+
+
+def test_many_copies_of_a_row_are_dealt_out(spark, make_docs):
+    from eventloom.llm.common import dealt
+
+    rows = [(1, "copy of a row " * 20)] * 300 + [(i, f"text {i}") for i in range(50)] + [(None, None)] * 3
+    docs = make_docs(*rows).select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    out = dealt(docs, 40, 2000)
+    assert out.count() == len(rows)
+    copies = out.filter("doc_id = 1 AND length(text) > 100").select("block").distinct().count()
+    assert copies > 20 and out.filter("doc_id IS NULL").select("block").distinct().count() == 1
+    few = dealt(docs, 40, 10**9)
+    assert few.filter("doc_id = 1 AND length(text) > 100").select("block").distinct().count() == 1

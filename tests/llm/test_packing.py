@@ -75,3 +75,11 @@ def test_counts_stay_within_the_histogram():
         for x in combo:
             used[x] += n
     assert (used <= histogram).all() and used.sum() > 0.65 * histogram.sum()
+
+
+def test_no_combination_is_left_out():
+    assert len(combinations(1024, np.ones(1024))) == 512 + 87_381
+    histogram = np.zeros(64, np.int64)
+    histogram[[13, 22, 29]] = 50, 50, 50
+    combos = combinations(64, histogram)
+    assert combos == [(13, 22, 29)] and repeat_counts(histogram, combos).tolist() == [50]

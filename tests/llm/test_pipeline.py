@@ -1,4 +1,9 @@
+import random
+
+from pyspark.sql import functions as F
+
 from corpus_pipeline import STAGES, drop_leaks, drop_near_duplicates, keep_languages, redact_secrets, run
+from eventloom.llm.simhash import near_duplicates
 
 
 def test_stages_in_order(spark):
@@ -48,3 +53,30 @@ def test_rows_are_told_apart_by_row_not_by_id(spark, make_docs):
     docs = make_docs((None, item), (None, one), (7, two), (7, f"{three} {item} {three}"), (7, two))
     left = [(r.doc_id, r.text) for r in drop_leaks(spark, docs, sf).collect()]
     assert sorted(left, key=str) == sorted([(None, one), (7, two), (7, two)], key=str)
+
+
+def test_columns_of_any_name_pass_unchanged(spark, make_docs):
+    sf = "/root/testdata/sf0.001"
+    names = ["score", "lang_pred", "secrets", "row", "Row_", "component_id", "links_to", "number", "seed", "block"]
+    docs = spark.read.parquet(f"{sf}/documents.parquet").filter("doc_id < 60")
+    marked = docs.select("*", *[F.concat(F.lit(f"{n} "), F.col("doc_id").cast("string")).alias(n) for n in names])
+    for name, stage in STAGES[:-1]:
+        out = stage(spark, marked, sf)
+        assert out.columns == marked.columns, name
+        rows = out.collect()
+        assert rows and all(r[n] == f"{n} {r.doc_id}" for r in rows for n in names), name
+        assert {r.doc_id for r in rows} == {r.doc_id for r in stage(spark, docs, sf).collect()}, name
+    assert STAGES[-1][1](spark, marked, sf).count() == STAGES[-1][1](spark, docs, sf).count()
+
+
+def test_one_of_each_near_copy_stays(spark, make_docs):
+    rng = random.Random(7)
+    draw = lambda n: [f"w{rng.randrange(5000)}" for _ in range(n)]
+    base, other = draw(4000), draw(4000)
+    near = [*base[:2000], "changed", *base[2001:]]
+    docs = make_docs((9, " ".join(base)), (4, " ".join(near)), (7, " ".join(base).upper()), (5, " ".join(other)))
+    groups = {}
+    for r in near_duplicates(docs).collect():
+        groups.setdefault(r.component_id, set()).add(r.doc_id)
+    kept = {r.doc_id for r in drop_near_duplicates(spark, docs, "/root/testdata/sf0.001").collect()}
+    assert kept == {min(g) for g in groups.values()} and 5 in kept and len(kept) <= 3

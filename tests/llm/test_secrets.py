@@ -2,10 +2,11 @@ import hashlib
 import random
 import re
 import string
+import time
 
 from pyspark.sql import functions as F
 
-from eventloom.llm.secrets import battery, digest, redact, scan
+from eventloom.llm.secrets import base_spans, battery, candidates, digest, redact, scan
 
 
 def plain(text):
@@ -79,3 +80,19 @@ def test_keys_beside_paths_and_letters_only_are_found(spark, make_docs):
     found = [r.n_random for r in digest(scan(make_docs(*enumerate(texts + words)))).orderBy("doc_id").collect()]
     assert sum(n > 0 for n in found[:10]) >= 9 and sum(n > 0 for n in found[10:20]) >= 9
     assert found[-2:] == [0, 0]
+
+
+def test_many_spans_in_one_text_take_linear_time():
+    rng = random.Random(6)
+    text = " ".join("/".join("%040x" % rng.getrandbits(160) for _ in range(2)) for _ in range(40_000))
+    base = base_spans(text)
+    begin = time.perf_counter()
+    assert len(base) == 80_000 and not list(candidates(text, base)) and time.perf_counter() - begin < 5
+
+
+def test_every_tested_string_counts(spark, make_docs):
+    text = "aaaaaaaaaaaaaaaaaaaaaaaaaaaaaa1A thecounterrevolutionaries"
+    tested = list(candidates(text, []))
+    assert tested and all(p == 1.0 for x, _, p in tested if x == 0)
+    columns = digest(scan(make_docs((1, text)))).columns
+    assert columns.index("n_random") > columns.index("spans")
