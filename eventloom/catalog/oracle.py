@@ -313,6 +313,12 @@ check(
       || regexp_extract(block, {_HREF}, 1) END AS link
   FROM rows WHERE regexp_matches(block, {text(LIST_ITEMS["title"])})""",
 )
+SQL["listing_blocks"] = """SELECT page_id, CAST(0 AS BIGINT) AS row_no, 'Event & ' || page_id AS title,
+    'From ' || url || 'one two end' AS description, CASE WHEN page_id % 3 > 0 THEN '2025-03-0' || (1 + page_id % 9) END AS date,
+    CASE WHEN page_id % 3 > 0 THEN '14:30' END AS time, 'Hall ' || (page_id % 7) AS location,
+    nullif(regexp_extract(url, '^https?://[^/?#]+'), '') || '/event/' || page_id AS link FROM pages WHERE url IS NOT NULL
+  UNION ALL SELECT page_id, 2, 'Second', NULL, NULL, NULL, NULL, 'https://other.example.edu/' || page_id FROM pages
+    WHERE url IS NOT NULL AND page_id % 5 > 0"""
 check("iso_split", ["ce"], "SELECT id, date AS iso_date, time AS iso_time FROM ce")
 check("future_rows", ["ce"], f"SELECT id, title, date FROM ce WHERE CAST(date AS DATE) >= DATE '{AS_OF}'")
 check(

@@ -18,8 +18,8 @@ from ..plans import cleanup, recommend
 from ..plans.ingest import ingest_batch
 from ..session import cut_lineage
 from ..sources.campus import campus_events, documents
-from ..sources.pages import extract_listing_rows
-from .views import AS_OF, DIRTY, HISTORY_BEFORE, RELISTED
+from ..sources.pages import LISTING_BLOCKS, extract_listing_rows
+from .views import AS_OF, DIRTY, HISTORY_BEFORE, LISTINGS, RELISTED
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -63,6 +63,12 @@ def page_rows(spark, sf):
     return extract_listing_rows(pages).select("page_id", "row_no", "title", "link")
 
 
+@query
+def listing_blocks(spark, sf):
+    pages = spark.sql(LISTINGS, pages=spark.read.parquet(f"{sf}/pages.parquet"))
+    return extract_listing_rows(pages, LISTING_BLOCKS, base_url=None)
+
+
 @query
 def iso_split(spark, sf):
     stamped = ce(spark, sf, "id", "date", "time").withColumn(

@@ -31,3 +31,15 @@ FROM {ce}"""
 
 # Stored rows beside which a second table is kept up to date.
 HISTORY_BEFORE = "2024-01-22"
+
+# Listing pages around the given ones: two listed events and one without a title link, nested lists and blocks, a tag in a comment.
+LISTINGS = """SELECT page_id, url, '<html><!-- <div class="views-row"> --><body><div class="list"><div class="odd views-row first">'
+  || '<div class="field-title"><h2><a class="x" href="/event/' || CAST(page_id AS STRING) || '">Event &amp; ' || CAST(page_id AS STRING)
+  || '</a></h2></div><div class="field-body"><div><p>From ' || url || '</p><ul><li>one</li><li> two</li></ul></div> end</div>'
+  || CASE WHEN page_id % 3 = 0 THEN '' ELSE '<div class="views-field-field-dates-value"><div><time datetime="2025-03-0'
+    || CAST(1 + page_id % 9 AS STRING) || 'T14:30:00">then</time></div></div>' END
+  || '<DIV class="field-location"><div>Hall ' || CAST(page_id % 7 AS STRING) || '</div></DIV></div><div class="field-body">outside</div>'
+  || '<div class="views-row"><div class="field-title">no link</div><div class="field-body">' || url || '</div></div>'
+  || CASE WHEN page_id % 5 = 0 THEN '' ELSE '<div class="views-row"><div class="field-title"><a href="https://other.example.edu/'
+    || CAST(page_id AS STRING) || '">Second</a></div></div>' END || '</div><div class="field-location">below</div></body></html>' AS html
+FROM {pages}"""

@@ -125,11 +125,12 @@ def replace_rows(spark: SparkSession, root: str, name: str, new: DataFrame) -> N
 
 
 def load_tables(spark: SparkSession, root: str, register: bool = True) -> dict[str, DataFrame]:
-    """All event tables under ``root`` with their fixed schemas, also as temp views."""
+    """All event tables under ``root`` with their fixed schemas, also as temp views with the SQL functions over them."""
     tables = {name: read_table(spark, root, name) for name in TABLES}
     if register:
         for name, df in tables.items():
             df.createOrReplaceTempView(name)
+        register_functions(spark)
     return tables
 
 
@@ -137,6 +138,41 @@ def existing_tables(spark: SparkSession, root: str) -> list[str]:
     return [name for name in TABLES if exists(spark, f"{root}/{name}")]
 
 
+#: Operators as SQL table functions over the registered tables: parameters, columns and body.
+FUNCTIONS = {
+    "upcoming_events": ("as_of STRING", TABLES["events"], "SELECT * FROM events WHERE date >= as_of"),
+    "past_events": ("cutoff STRING", "title STRING, date STRING, time STRING", "SELECT title, date, time FROM events WHERE date < cutoff"),
+    "events_between": (
+        "date_from STRING, date_to STRING",
+        TABLES["events"],
+        "SELECT * FROM events WHERE date >= date_from AND date <= date_to",
+    ),
+    "events_at": ("place STRING", TABLES["events"], "SELECT * FROM events WHERE location ILIKE '%' || place || '%'"),
+    "content_of_type": (
+        "kind STRING",
+        TABLES["enhanced_content"],
+        "SELECT * FROM enhanced_content WHERE event_type ILIKE '%' || kind || '%'",
+    ),
+    "waiting_events": (
+        "",
+        "id BIGINT, title STRING, description STRING",
+        """SELECT id, title, description FROM events WHERE NOT EXISTS (SELECT 1 FROM enhanced_content c
+            WHERE c.event_id = events.id AND c.enhanced_description IS NOT NULL)""",
+    ),
+    "duplicate_events": (
+        "",
+        "title STRING, date STRING, count BIGINT",
+        "SELECT title, date, count(*) AS count FROM events GROUP BY title, date HAVING count(*) > 1",
+    ),
+}
+
+
+def register_functions(spark: SparkSession) -> None:
+    """Makes ``FUNCTIONS`` callable from SQL, as ``SELECT * FROM upcoming_events('2025-01-01')``; the tables have to be registered."""
+    for name, (parameters, columns, body) in FUNCTIONS.items():
+        spark.sql(f"CREATE OR REPLACE TEMPORARY FUNCTION {name}({parameters}) RETURNS TABLE ({columns}) RETURN {body}")
+
+
 def run_sql(spark: SparkSession, query: str, **params) -> DataFrame:
-    """Parameterised SQL over the registered views."""
+    """Parameterised SQL over the registered views and functions."""
     return spark.sql(query, args=params)

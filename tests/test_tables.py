@@ -6,6 +6,7 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
+from eventloom.operators import analytics as a
 from eventloom.operators import enhance, export, filters, integrity, merge
 from eventloom.plans import commands
 from eventloom.plans.cleanup import purge
@@ -56,6 +57,21 @@ def test_listing_blocks(spark):
     )
 
 
+def test_a_block_ends_at_its_own_tag(spark):
+    row = '<div class="views-row"><div class="field-title"><a href="{0}">{1}</a></div>{2}</div>'
+    inner = row.format("/in", "Inner", "")
+    html = row.format("/one", "One", '<div class="field-body"><div>a</div><div>b</div>c</div><p>x</p>') + "<div>between</div>"
+    html += row.format("two", "Two", inner) + '</div></div><div class="views-row"><div class="field-title"><a href="/open">Open</a>'
+    pages = spark.createDataFrame([(1, "https://s.example.edu/list?x=1", html), (2, None, html[:40]), (3, "", None)], "page_id BIGINT, url STRING, html STRING")
+    rows = [(r.page_id, r.row_no, r.title, r.description, r.link) for r in extract_listing_rows(pages, LISTING_BLOCKS, base_url=None).collect()]
+    assert sorted(rows) == [
+        (1, 0, "One", "abc", "https://s.example.edu/one"),
+        (1, 1, "Two", None, "two"),
+        (1, 2, "Inner", None, "https://s.example.edu/in"),
+        (1, 3, "Open", None, "https://s.example.edu/open"),
+    ]
+
+
 def test_csv(spark, make_events, tmp_path):
     events = sample(make_events)
     enhanced = enhance.enhance(events)
@@ -213,6 +229,27 @@ def test_snapshot_and_restore(spark, make_events, tmp_path):
         files.restore(spark, root, "before")
 
 
+def test_operators_as_sql_functions(spark, make_events, tmp_path):
+    root, events = str(tmp_path), stored(make_events)
+    append_rows(events.unionByName(events.filter("id = 2").withColumn("id", F.lit(9).cast("bigint"))), root, "events")
+    append_rows(enhance.content_of(enhance.enhance(events.filter("id <= 2"))), root, "enhanced_content")
+    tables = load_tables(spark, root)
+    listed, content = tables["events"], tables["enhanced_content"]
+    same = {
+        "upcoming_events(:a)": filters.upcoming(listed, AS_OF),
+        "past_events(:a)": filters.past(listed, AS_OF),
+        "events_between('2025-03-01', '2025-03-02')": filters.date_range(listed, AS_OF, "2025-03-01", "2025-03-02", "listing"),
+        "events_at('bldg')": filters.text_filters(listed, location="bldg"),
+        "content_of_type('arts')": filters.text_filters(content, event_type="arts"),
+        "waiting_events()": enhance.enhancement_queue(listed, content),
+        "duplicate_events()": a.duplicate_groups(listed.select("title", "date")),
+    }
+    for call, wanted in same.items():
+        found = run_sql(spark, f"SELECT * FROM {call}", a=AS_OF)
+        rows = sorted(map(tuple, found.select(*wanted.columns).collect()), key=str)
+        assert rows and rows == sorted(map(tuple, wanted.collect()), key=str), call
+
+
 def test_number_rows(spark):
     rows = spark.range(1000).select((F.col("id") * 7919 % 10007).alias("at"))
     numbered = merge.number_rows(rows, "at", "n").orderBy("at").collect()
