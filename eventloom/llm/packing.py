@@ -32,7 +32,7 @@ TOKENIZER, RANKS = "byte_bpe_50k.json", "byte_bpe_50k.tiktoken"
 #: Combinations that join the fit at once.
 JOINING = 256
 #: The fit of the combinations at hand ends when a sweep moves counts by less than this share of all lengths.
-STILL = 1e-4
+STILL = 1e-3
 #: Rows numbered in one task.
 BUCKET_ROWS = 50_000
 
