@@ -29,6 +29,7 @@ HEADLINE = [
     "building_conflicts",
     "recurring_conflicts",
     "conflict_summary",
+    "conflict_groups",
     "free_slots",
     "recommendations",
     "tags",
