@@ -41,7 +41,7 @@ def derived(spark: SparkSession, sf: str, view: str) -> DataFrame:
 
 def content(spark: SparkSession, sf: str, *columns: str, since: str | None = None, until: str | None = None) -> DataFrame:
     """Enhanced content of the events; only the named columns are computed."""
-    enhanced = enhance.content_of(enhance.enhance(ce(spark, sf, "id", "title", "description", since=since, until=until)))
+    enhanced = enhance.content_of(enhance.enhance(ce(spark, sf, "id", "title", "description", since=since, until=until), one_pass=True))
     return enhanced.select("event_id", *columns) if columns else enhanced
 
 
@@ -511,13 +511,13 @@ def location_mentions(spark, sf):
 @query
 def event_types(spark, sf):
     rows = ce(spark, sf, "id", "title", "description")
-    text = features.full_text(F.col("title"), F.col("description"))
-    return rows.select("id", text.alias("text")).select("id", features.event_types(F.col("text")).alias("event_type"))
+    found = features.keywords(F.col("title"), F.col("description"), one_pass=True)
+    return rows.select("id", found.alias("found")).select("id", features.event_types(F.col("found")).alias("event_type"))
 
 
 @query
 def tags(spark, sf):
-    return enhance.tags_of(enhance.enhance(ce(spark, sf, "id", "title", "description")))
+    return enhance.tags_of(enhance.enhance(ce(spark, sf, "id", "title", "description"), one_pass=True))
 
 
 @query
@@ -525,7 +525,7 @@ def replace_tags(spark, sf):
     """One tag stored for every event; the tags of upcoming events are replaced."""
     stored = ce(spark, sf, "id").select(F.col("id").alias("event_id"), F.lit("stored").alias("tag"))
     fresh = filters.upcoming(ce(spark, sf, "id", "title", "description", "date", since=AS_OF), AS_OF)
-    return merge.replace_tags(stored, enhance.tags_of(enhance.enhance(fresh)))
+    return merge.replace_tags(stored, enhance.tags_of(enhance.enhance(fresh, one_pass=True)))
 
 
 @query
@@ -590,8 +590,8 @@ def feature_bundle(spark, sf):
 def tag_slugs(spark, sf):
     """Slugs of the tags, and of the title."""
     rows = ce(spark, sf, "id", "title", "description")
-    text = features.full_text(F.col("title"), F.col("description"))
-    tagged = rows.withColumn("text", text).withColumn("tags", features.tags("text"))
+    found = features.keywords(F.col("title"), F.col("description"), one_pass=True)
+    tagged = rows.withColumn("found", found).withColumn("tags", features.tags(F.col("found")))
     return tagged.select(
         "id",
         F.array_join(features.tag_slugs(F.col("tags")), ",").alias("tag_slugs"),

@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from .. import vocab
-from .text import any_word, let, slug, strip, unicode_pattern
+from .text import any_word, slug, strip, unicode_pattern
+from .words import words_in
 
 
 def present(*items: Column) -> Column:
@@ -19,42 +22,56 @@ def said(col: Column) -> Column:
     return F.coalesce(col, F.lit(""))
 
 
+def starting(words: list[str]) -> str:
+    """Look-ahead for the first two letters of some word: most places of a text fail here, before any word is tried."""
+    firsts, seconds = ("".join(sorted({word[i] for word in words})) for i in range(2))
+    return f"(?=[{firsts}][{seconds}])"
+
+
 def time_mentions(text: Column) -> Column:
     """All matches of each time pattern, pattern by pattern, joined by ', '."""
-    found = [F.regexp_extract_all(text, F.lit(unicode_pattern(p)), 0) for p in vocab.TIME_PATTERNS]
-    return F.array_join(F.concat(*found), ", ")
+    # The only capitalised words in these patterns are the months one of them begins with.
+    months = [re.findall("[A-Z][a-z]{2}", p) for p in vocab.TIME_PATTERNS]
+    patterns = [(starting(names) if names else "") + unicode_pattern(p) for p, names in zip(vocab.TIME_PATTERNS, months)]
+    return F.array_join(F.concat(*[F.regexp_extract_all(text, F.lit(p), 0) for p in patterns]), ", ")
 
 
 def location_mentions(text: Column) -> Column:
-    words = "|".join(vocab.LOCATION_KEYWORDS)
-    pattern = unicode_pattern(f"(?iu)(?:{words}){vocab.LOCATION_TAIL}")
+    words = vocab.LOCATION_KEYWORDS
+    pattern = unicode_pattern(f"(?iu){starting(words)}(?:{'|'.join(words)}){vocab.LOCATION_TAIL}")
     return F.array_join(F.regexp_extract_all(text, F.lit(pattern), 0), ", ")
 
 
-def _sql_array(items: list[str]) -> str:
-    return "array(" + ", ".join("'" + item.replace("'", "''") + "'" for item in items) + ")"
+_PLAIN_TAGS = [w for words in vocab.EVENT_KEYWORDS.values() for w in words] + vocab.LOCATION_KEYWORDS + vocab.WEEKDAYS
+#: All words that types and tags are told by.
+KEYWORDS = list(dict.fromkeys(_PLAIN_TAGS + [w for words in vocab.DAYPART_WORDS.values() for w in words]))
 
 
-def _named_groups(groups: dict[str, list[str]]) -> str:
-    rows = [
-        f"struct('{name}' AS name, {_sql_array(words)} AS words)"
-        for name, words in groups.items()
-    ]
-    return f"array({', '.join(rows)})"
+def full_text(title: Column, description: Column) -> Column:
+    return F.lower(F.concat(said(title), F.lit(" "), said(description)))
 
 
-_PLAIN_TAGS = [w for words in vocab.EVENT_KEYWORDS.values() for w in words] + vocab.LOCATION_KEYWORDS + vocab.WEEKDAYS
-_ALL_WORDS = list(dict.fromkeys(_PLAIN_TAGS + [w for words in vocab.DAYPART_WORDS.values() for w in words]))
+def keywords(title: Column, description: Column, one_pass: bool = False) -> Column:
+    """Those of ``KEYWORDS`` that title or description hold, in any case. Never NULL.
 
+    By ``one_pass`` an automaton in Python workers reads each text once; else the JVM reads it once a word.
+    """
+    text = full_text(title, description)
+    if one_pass:
+        return words_in(text, KEYWORDS)
+    known = F.array(*[F.lit(word) for word in KEYWORDS])
+    # A text that a lambda makes its argument is computed once, not once a word.
+    return F.transform(F.array(text), lambda t: F.filter(known, lambda word: F.contains(t, word)))[0]
 
-def full_text(title: Column, description: Column) -> Column:
-    return F.lower(F.concat(said(title), F.lit(" "), said(description)))
+
+def _any_of(found: Column, words: list[str]) -> Column:
+    return F.arrays_overlap(found, F.array(*[F.lit(word) for word in words]))
 
 
-def event_types(text: Column) -> Column:
-    """Keyword groups found in a lower-cased text, in fixed order, joined by ', '. Never NULL."""
+def event_types(found: Column) -> Column:
+    """Keyword groups with a word in ``found``, in fixed order, joined by ', '. Never NULL."""
     labels = [
-        F.when(any_word(text, words), F.lit(group.replace("_", " ").title()))
+        F.when(_any_of(found, words), F.lit(group.replace("_", " ").title()))
         for group, words in vocab.EVENT_KEYWORDS.items()
     ]
     joined = F.concat_ws(", ", *labels)
@@ -62,13 +79,13 @@ def event_types(text: Column) -> Column:
     return F.coalesce(F.when(joined != "", joined), default)
 
 
-def tags(text: str, most: int = vocab.MOST_TAGS) -> Column:
-    """First ``most`` tags in alphabetical order: groups, keywords, places, dayparts and weekdays found in a lower-cased text."""
-    matching = f"filter({_named_groups(vocab.EVENT_KEYWORDS | vocab.DAYPART_WORDS)}, g -> arrays_overlap(g.words, found))"
-    plain = f"array_intersect({_sql_array(_PLAIN_TAGS)}, found)"
-    result = f"slice(sort_array(array_union({plain}, transform({matching}, g -> g.name))), 1, {most})"
-    search = f"filter({_sql_array(_ALL_WORDS)}, word -> contains(txt, word))"
-    return F.expr(let("txt", text, let("found", search, result)))
+def tags(found: Column, most: int = vocab.MOST_TAGS) -> Column:
+    """First ``most`` tags in alphabetical order: groups, keywords, places, dayparts and weekdays with a word in ``found``."""
+    plain = F.array_intersect(F.array(*[F.lit(word) for word in _PLAIN_TAGS]), found)
+    groups = present(
+        *[F.when(_any_of(found, words), F.lit(name)) for name, words in (vocab.EVENT_KEYWORDS | vocab.DAYPART_WORDS).items()]
+    )
+    return F.slice(F.sort_array(F.array_union(plain, groups)), 1, most)
 
 
 def missing_details(description: Column) -> Column:

@@ -9,22 +9,27 @@ from .. import vocab
 from ..functions import features as f
 
 
-def enhance(events: DataFrame, footer: str = vocab.FOOTER, keep: tuple[str, ...] = ()) -> DataFrame:
-    """One narrow projection, no shuffle: id, content columns, ``tags`` and the two suggestion lists; ``keep`` are columns to pass on."""
+def enhance(
+    events: DataFrame, footer: str = vocab.FOOTER, keep: tuple[str, ...] = (), one_pass: bool = False
+) -> DataFrame:
+    """One narrow projection, no shuffle: id, content columns, ``tags`` and the two suggestion lists; ``keep`` are columns to pass on.
+
+    ``one_pass`` finds the keywords of types and tags by an automaton in Python workers, which long texts repay.
+    """
     title, description = F.col("title"), F.col("description")
     read = events.select(
         "id",
         "title",
         "description",
         *[c for c in keep if c not in ("id", "title", "description")],
-        f.full_text(title, description).alias("text"),
+        f.keywords(title, description, one_pass).alias("found"),
         f.time_mentions(f.said(description)).alias("structured_time"),
         f.location_mentions(f.said(description)).alias("structured_location"),
     )
     when_text, where_text = F.col("structured_time"), F.col("structured_location")
     typed = read.select(
         "*",
-        f.event_types(F.col("text")).alias("event_type"),
+        f.event_types(F.col("found")).alias("event_type"),
         f.title_suggestions(title).alias("title_suggestions"),
         f.description_suggestions(description, when_text, where_text).alias("missing_details"),
     )
@@ -39,7 +44,7 @@ def enhance(events: DataFrame, footer: str = vocab.FOOTER, keep: tuple[str, ...]
         f.seo_score(title, description, F.size("title_suggestions"), F.size("missing_details")).alias("seo_score"),
         "missing_details",
         "title_suggestions",
-        f.tags("text").alias("tags"),
+        f.tags(F.col("found")).alias("tags"),
         *keep,
     )
 

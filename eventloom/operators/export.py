@@ -67,7 +67,7 @@ def enhanced_export_rows(
     Rows are sorted before they are enhanced, which leaves their order, so the sort's sample does not enhance them too.
     """
     rows = text_filters(date_range(events, as_of, date_from, date_to), location=location).orderBy("date", "time", "id")
-    full = text_filters(enhance(rows, keep=tuple(BASIC_HEADERS)), event_type)
+    full = text_filters(enhance(rows, keep=tuple(BASIC_HEADERS), one_pass=True), event_type)
     tags = F.when(F.size("tags") > 0, F.array_join(F.array_sort("tags"), ", "))
     return full.withColumn("tags", tags).select(*ENHANCED_HEADERS)
 
