@@ -11,6 +11,7 @@ from .enhance import enhance, tag_text
 from .filters import date_range, text_filters, with_content
 from .intervals import with_interval
 
+# Headers of the exported columns, in order (fixed values).
 BASIC_HEADERS = {
     "id": "ID",
     "title": "Title",

@@ -31,6 +31,7 @@ DAYPART_WORDS = {
     "afternoon": ["afternoon", "pm"],
     "evening": ["evening", "night"],
 }
+# Weekday tags, and the type of an event that no group fits (fixed values).
 WEEKDAYS = ["monday", "tuesday", "wednesday", "thursday", "friday", "saturday", "sunday"]
 DEFAULT_EVENT_TYPE = "General Event"
 
@@ -59,6 +60,7 @@ TITLE_NO_NUMBER = "Consider adding date/time information in the title."
 DESCRIPTION_SHORT = "Description is quite short. Add more details about the event."
 DESCRIPTION_NO_TIME = "Add clear date and time information."
 DESCRIPTION_NO_PLACE = "Add specific location information."
+# Words whose absence is reported, by element; most tags of an event; their sentences (fixed values).
 KEY_ELEMENTS = {
     "time": ["time", "am", "pm", "o'clock"],
     "location": ["room", "building", "hall", "center"],
