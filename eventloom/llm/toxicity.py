@@ -62,7 +62,14 @@ class KneserNey:
     """Both models. ``pairs`` are bigrams (before, word) with their counts in ordinary and in toxic text, at least those above the
     discount; ``contexts`` have for either class the sum of the counts and of what the discount takes; ``words`` the counts."""
 
-    def __init__(self, pairs: tuple[np.ndarray, ...], contexts: tuple[np.ndarray, ...], words: tuple[np.ndarray, ...]):
+    def __init__(
+        self,
+        pairs: tuple[np.ndarray, ...],
+        contexts: tuple[np.ndarray, ...],
+        words: tuple[np.ndarray, ...],
+        pair_discount: float = PAIR_DISCOUNT,
+    ):
+        self.pair_discount = pair_discount
         before, word, *n = pairs
         self.pairs = _Lookup(pair_hash(before, word), *n)
         self.contexts = _Lookup(*contexts)
@@ -84,7 +91,7 @@ class KneserNey:
         else:
             lower = shared
         seen, removed = np.maximum(contexts[c], 1), contexts[2 + c]
-        upper = np.maximum(self.pairs(pair_hash(before, word))[c] - PAIR_DISCOUNT, 0) / seen + removed / seen * lower
+        upper = np.maximum(self.pairs(pair_hash(before, word))[c] - self.pair_discount, 0) / seen + removed / seen * lower
         return np.where(contexts[c] > 0, upper, lower)
 
     def differences(self, hashes: np.ndarray, owner: np.ndarray) -> np.ndarray:
@@ -144,11 +151,20 @@ def logistic_weights(features: np.ndarray, toxic: np.ndarray, ridge: float = 1e-
     return w
 
 
-def fit(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text", toxic: str = "toxic") -> Scorer | None:
+def fit(
+    docs: DataFrame,
+    labels: DataFrame,
+    doc_id: str = "doc_id",
+    text: str = "text",
+    toxic: str = "toxic",
+    pair_discount: float = PAIR_DISCOUNT,
+) -> Scorer | None:
     """Fits on documents with a text and a label of 0 or 1; None if a class is missing.
 
     Of two thirds of the labels COUNT_DOCS of a class at most are counted; FIT_DOCS of a class at most, of the other
-    third, give the weights. Both numbers are expected ones: labels are drawn by a hash of their id, before any text is read.
+    third, give the weights. Both numbers are expected ones: labels are drawn by a hash of their id, before any text is read. An
+    id that several texts share gives the one of least hash, so no id brings more than a text; an id or a text with both labels
+    counts in both classes.
     """
     given = labels.select(F.col(doc_id).alias("id"), F.col(toxic).cast("int").alias("toxic")).filter("id IS NOT NULL AND toxic IN (0, 1)").distinct()
     sizes = {r["toxic"]: r["n"] for r in given.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
@@ -161,8 +177,9 @@ def fit(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str =
     def part(remainders: list[int], most: list[float], share: float) -> DataFrame:
         rate = [min(1.0, most[c] / (share * sizes[c])) for c in (0, 1)]
         picked = given.filter(F.pmod(drawn, F.lit(3)).isin(remainders) & (point < F.when(F.col("toxic") == 1, rate[1]).otherwise(rate[0])))
-        # COUNT_DOCS or FIT_DOCS ids of a class, whatever the data: sent to the texts, which stay where they are.
-        return texts.join(F.broadcast(picked), "id").select("text", "toxic")
+        # COUNT_DOCS or FIT_DOCS ids of a class, whatever the data: sent to the texts, which stay where they are. Tasks pass on one text an id.
+        met = texts.join(F.broadcast(picked), "id").groupBy("id", "toxic")
+        return met.agg(F.min_by("text", F.xxhash64("text")).alias("text")).select("text", "toxic")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Distinct (two words before, word before, word) of each text; marks the first of each bigram and of each word."""
@@ -186,7 +203,7 @@ def fit(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str =
                 names=["before", "word", "left", "toxic", "new_pair", "new_word"],
             )
 
-    sample = part([0, 1], [COUNT_DOCS] * 2, 2 / 3).dropDuplicates(["text"])
+    sample = part([0, 1], [COUNT_DOCS] * 2, 2 / 3).distinct()
     seen = sample.mapInArrow(count, "before long, word long, left long, toxic int, new_pair long, new_word long")
     by_left = seen.groupBy("toxic", "word", "before", "left").agg(F.sum("new_pair").alias("texts"), F.sum("new_word").alias("words"))
     by_pair = materialize(
@@ -205,9 +222,10 @@ def fit(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str =
     # All of it is of the bounded sample.
     by_word = by_pair.groupBy("toxic", "word").agg(F.least(F.sum("words"), F.count("*")).alias("n"))
     model = KneserNey(
-        arrays(by_pair.filter(F.col("n") > PAIR_DISCOUNT).groupBy("before", "word").agg(*classes("n")), "before", "word"),
-        arrays(by_pair.groupBy("before").agg(*classes("n"), *classes(f"least(n, {PAIR_DISCOUNT}D)", "_taken")), "before"),
+        arrays(by_pair.filter(F.col("n") > pair_discount).groupBy("before", "word").agg(*classes("n")), "before", "word"),
+        arrays(by_pair.groupBy("before").agg(*classes("n"), *classes(f"least(n, {pair_discount}D)", "_taken")), "before"),
         arrays(by_word.groupBy("word").agg(*classes("n")), "word"),
+        pair_discount,
     )
     shared = docs.sparkSession.sparkContext.broadcast(model)
     names = [f"feature_{k}" for k in range(1 + len(WINDOWS))]

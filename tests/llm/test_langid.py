@@ -1,4 +1,6 @@
 import random
+import re
+from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
@@ -67,3 +69,42 @@ def test_a_language_of_one_text_and_a_hot_text(spark, make_docs, monkeypatch):
     model = langid.fit(make_docs(*rows))
     found = langid.identify(make_docs((1, one), (2, hot), (3, sample("aa", 30, 999))), model).orderBy("doc_id").collect()
     assert [r.lang_pred for r in found] == ["cc", "bb", "aa"] and all(r.score > 0.5 for r in found)
+
+
+def plain_grams(text):
+    low = "".join((c.lower() if len(c.lower()) == 1 else c) if c.isalpha() else " " for c in text or "")
+    line = re.sub(" +", " ", f" {low} ")
+    return [line[i : i + langid.GRAM] for i in range(len(line) - langid.GRAM + 1)]
+
+
+def test_against_sets_of_grams(spark):
+    sf = "/root/testdata/sf0.001"
+    docs = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text", "lang", (remainder("doc_id", 4) == 2).alias("held_out"))
+    rows = docs.collect()
+    counts = defaultdict(Counter)
+    for lang, text in {(r.lang, r.text) for r in rows if not r.held_out and r.lang is not None and r.text is not None}:
+        counts[lang].update(plain_grams(text))
+    shares = {lang: {g: n / sum(c.values()) for g, n in c.items()} for lang, c in counts.items()}
+    top = Counter()
+    for held in shares.values():
+        for g, x in held.items():
+            top[g] = max(top[g], x)
+    sets = {lang: {g for g, x in held.items() if x >= langid.LEAST_SHARE and x >= langid.LEAST_PART * top[g]} for lang, held in shares.items()}
+    found = {r.doc_id: r for r in op8_langid(spark, sf).collect()}
+    assert len(found) == len(rows) and len(sets) > 2
+    clear = 0
+    for r in rows:
+        grams = plain_grams(r.text)
+        share = {lang: sum(g in held for g in grams) / max(len(grams), 1) for lang, held in sets.items()}
+        best = sorted(share, key=lambda lang: (-share[lang], lang))
+        got = found[r.doc_id]
+        if not any(c.isalpha() for c in r.text or ""):
+            assert (got.lang_pred, got.score) == ("und", 0)
+            continue
+        # A filter errs by chance in some of a text's grams, the more so the fewer there are.
+        slack = 0.01 + 2 / max(len(grams), 1)
+        assert abs(got.score - share[got.lang_pred]) < slack and share[got.lang_pred] > share[best[0]] - 2 * slack
+        if share[best[0]] - share[best[1]] > 2 * slack:
+            clear += 1
+            assert got.lang_pred == best[0]
+    assert clear > len(rows) * 0.8

@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from eventloom.llm import lm
-from eventloom.llm.common import remainder
+from eventloom.llm.common import dealt, remainder
 from eventloom.llm.queries import op3_lm
 
 
@@ -115,3 +115,53 @@ def test_many_copies_of_a_row_are_dealt_out(spark, make_docs):
     assert copies > 20 and out.filter("doc_id IS NULL").select("block").distinct().count() == 1
     few = dealt(docs, 40, 10**9)
     assert few.filter("doc_id = 1 AND length(text) > 100").select("block").distinct().count() == 1
+
+
+def test_score_against_dictionaries(spark, make_docs, monkeypatch):
+    learned = []
+
+    def spy(*args, learn=lm.learn_weights):
+        learned.append(learn(*args))
+        return learned[-1]
+
+    monkeypatch.setattr(lm, "learn_weights", spy)
+    monkeypatch.setattr(lm, "BLOCK_BYTES", 3000)
+    rows = texts()[:-4] + [(204, "x y " * 900)]
+    found = {r.doc_id: r for r in lm.score(make_docs(*rows), remainder("doc_id", 10) == 0).collect()}
+    held = {d: zlib.crc32(("" if d is None else str(d)).encode()) % 10 == 0 for d, _ in rows}
+    line = {d: plain_tokens(text) for d, text in rows}
+    pairs_of = lambda d: list(zip(["<s>", *line[d]], line[d]))
+    train = [d for d, _ in rows if not held[d]]
+    word = Counter(t for d in train for t in line[d])
+    pair = Counter(p for d in train for p in pairs_of(d))
+    n, v = sum(word.values()), len(word)
+    seen = lambda t: len(train) if t == "<s>" else word[t]
+    bucket = lambda s: s.bit_length() if s > 0 else 0
+
+    (weights,) = learned
+    for d, _ in rows:
+        want = 0.0
+        for b, t in pairs_of(d):
+            w, s = weights[bucket(seen(b))], seen(b)
+            want += math.log10(w[0] / (v + 1) + w[1] * word[t] / n + w[2] * (pair[b, t] / s if s else 0))
+        assert found[d].score == pytest.approx(want)
+
+    # The weights: expectation-maximisation over single tokens, each taken out of the counts, without cells of rounded ratios.
+    clean = make_docs(*rows).select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    drawn = dealt(clean, 1, 10**9).filter(F.pmod(F.shiftrightunsigned("drawn", 33), F.lit(lm.DELETED)) == 0).select("doc_id").collect()
+    by_bucket = {}
+    for d in (r.doc_id for r in drawn if not held[r.doc_id]):
+        for b, t in pairs_of(d):
+            s = seen(b) - 1
+            x = (1 / (v + 1), (word[t] - 1) / (n - 1), (pair[b, t] - 1) / s if s else 0.0)
+            by_bucket.setdefault(bucket(s), []).append(x)
+    assert sum(len(x) for x in by_bucket.values()) > 200
+    for k, tokens in by_bucket.items():
+        if k == 0:
+            continue
+        x, w = np.array(tokens), np.array([0.2, 0.5, 0.3])
+        for _ in range(lm.ITERATIONS):
+            share = x * w
+            w = (share / share.sum(1, keepdims=True)).mean(0)
+        gain = np.log(x @ w).mean() - np.log(x @ weights[k]).mean()
+        assert abs(gain) < 0.01

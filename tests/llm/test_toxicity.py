@@ -1,6 +1,10 @@
+import math
 import random
+import re
+from collections import defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -81,3 +85,89 @@ def test_held_out(spark):
     assert (toxic[:, None] > other[None, :]).mean() > 0.82
     assert (toxic >= 0.7).mean() > 0.5
     assert op9_toxicity(spark, sf).filter(F.col("held_out") != (remainder("doc_id", 3) == 1)).count() == 0
+
+
+def plain_models(counted, pair_discount):
+    """Per class P(word | word before) by dictionaries, from (text, toxic) rows."""
+    texts_of, lefts_of, word_texts, befores_of = ([defaultdict(set) for _ in range(2)] for _ in range(4))
+    for i, (text, c) in enumerate(set(counted)):
+        words = ["<s>", "<s>", *plain_words(text)]
+        for left, before, word in zip(words, words[1:], words[2:]):
+            texts_of[c][before, word].add(i)
+            lefts_of[c][before, word].add(left)
+            word_texts[c][word].add(i)
+            befores_of[c][word].add(before)
+    pairs = [{k: min(len(v), len(lefts_of[c][k])) for k, v in texts_of[c].items()} for c in (0, 1)]
+    words = [{k: min(len(v), len(befores_of[c][k])) for k, v in word_texts[c].items()} for c in (0, 1)]
+    contexts = [defaultdict(list) for _ in range(2)]
+    for c in (0, 1):
+        for (before, _), n in pairs[c].items():
+            contexts[c][before].append(n)
+    every = set(words[0]) | set(words[1])
+    d = toxicity.DISCOUNT
+    shared_n = {w: sum(min(words[c].get(w, 0), d) for c in (0, 1)) for w in every}
+    total = sum(shared_n.values())
+
+    def p(before, word, c):
+        s = toxicity.SHARED_DISCOUNT
+        shared = max(shared_n.get(word, 0) - s, 0) / total + min(1, s * len(every) / total) / (len(every) + 1)
+        types = sum(words[c].values())
+        lower = max(words[c].get(word, 0) - d, 0) / types + sum(min(n, d) for n in words[c].values()) / types * shared
+        n = contexts[c].get(before)
+        if not n:
+            return lower
+        return max(pairs[c].get((before, word), 0) - pair_discount, 0) / sum(n) + sum(min(x, pair_discount) for x in n) / sum(n) * lower
+
+    return p
+
+
+def plain_words(text):
+    low = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text)
+    return re.findall(r"[^\x00-/:-@\[-`{-\x7f]+", low)
+
+
+def plain_features(p, text):
+    words = plain_words(text)
+    d = [math.log(p(b, w, 1)) - math.log(p(b, w, 0)) for b, w in zip(["<s>", *words], words)]
+    if not d:
+        return [0.0] * (1 + len(toxicity.WINDOWS))
+    out = [sum(d) / len(d)]
+    for size, step in toxicity.WINDOWS:
+        ends = [min(s + size, len(d)) for s in range(0, max(1, len(d) - size + step), step)]
+        out.append(max(sum(d[max(e - size, 0) : e]) / size for e in ends))
+    return out
+
+
+@pytest.mark.parametrize("pair_discount", [20.0, 0.7])
+def test_against_dictionaries(spark, pair_discount):
+    docs = labelled(spark, 450)
+    copies = docs.filter("doc_id < 30").select((F.col("doc_id") + 1000).alias("doc_id"), "text", "toxic")
+    shared_id = spark.createDataFrame([(7, "a second text of the id", 0), (8, None, 1), (2000, "both labels", 0), (2000, "both labels", 1)], docs.schema)
+    docs = docs.unionByName(copies).unionByName(shared_id)
+    scorer = toxicity.fit(docs.select("doc_id", "text").distinct(), docs.select("doc_id", "toxic"), pair_discount=pair_discount)
+    hashed = docs.withColumn("part", F.pmod(F.xxhash64(F.lit("toxicity"), "doc_id"), F.lit(3))).withColumn("name", F.xxhash64("text"))
+    one = {}
+    for r in hashed.filter("text IS NOT NULL").collect():
+        key = (r.doc_id, r.toxic, r.part)
+        if key not in one or r.name < one[key][0]:
+            one[key] = (r.name, r.text)
+    p = plain_models([(text, c) for (_, c, part), (_, text) in one.items() if part < 2], pair_discount)
+    probe = [text for _, text in list(one.values())[::9]] + ["", "unseen words vile", "Vile, WORD1 rotten!"]
+    want = np.array([plain_features(p, t) for t in probe])
+    assert np.allclose(scorer.model.features(pa.array(probe)), want, rtol=1e-3, atol=1e-4)
+    found = toxicity.score(spark.createDataFrame([(i, t) for i, t in enumerate(probe)], "doc_id long, text string"), scorer).orderBy("doc_id").collect()
+    x = np.column_stack([np.ones(len(want)), want])
+    assert np.allclose([r.score for r in found], 1 / (1 + np.exp(-x @ scorer.weights)), atol=2e-3)
+    # The weights are where the slope of the shrunk likelihood of the rows that were not counted vanishes.
+    held = [(text, c) for (_, c, part), (_, text) in one.items() if part == 2]
+    x = np.column_stack([np.ones(len(held)), [plain_features(p, t) for t, _ in held]])
+    slope = x.T @ (np.array([c for _, c in held]) - 1 / (1 + np.exp(-x @ scorer.weights))) - 1e-2 * scorer.weights
+    assert np.abs(slope).max() < 1e-2
+
+
+def test_an_id_of_many_texts_brings_one(spark):
+    docs = labelled(spark, 90)
+    hot = spark.range(400).select(F.lit(3).cast("long").alias("doc_id"), F.concat(F.lit("hotword"), F.col("id")).alias("text"))
+    scorer = toxicity.fit(docs.select("doc_id", "text").unionByName(hot), docs.select("doc_id", "toxic"))
+    plain = toxicity.fit(docs.select("doc_id", "text"), docs.select("doc_id", "toxic"))
+    assert abs(scorer.model.all_words - plain.model.all_words) < 60
