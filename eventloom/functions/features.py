@@ -28,18 +28,35 @@ def starting(words: list[str]) -> str:
     return f"(?=[{firsts}][{seconds}])"
 
 
-def time_mentions(text: Column) -> Column:
-    """All matches of each time pattern, pattern by pattern, joined by ', '."""
+def _time_patterns() -> list[str]:
     # The only capitalised words in these patterns are the months one of them begins with.
     months = [re.findall("[A-Z][a-z]{2}", p) for p in vocab.TIME_PATTERNS]
-    patterns = [(starting(names) if names else "") + unicode_pattern(p) for p, names in zip(vocab.TIME_PATTERNS, months)]
-    return F.array_join(F.concat(*[F.regexp_extract_all(text, F.lit(p), 0) for p in patterns]), ", ")
+    return [(starting(names) if names else "") + unicode_pattern(p) for p, names in zip(vocab.TIME_PATTERNS, months)]
 
 
-def location_mentions(text: Column) -> Column:
+def time_mentions(text: Column) -> Column:
+    """All matches of each time pattern, pattern by pattern, joined by ', '."""
+    return F.array_join(F.concat(*[F.regexp_extract_all(text, F.lit(p), 0) for p in _time_patterns()]), ", ")
+
+
+def _location_pattern() -> str:
     words = vocab.LOCATION_KEYWORDS
-    pattern = unicode_pattern(f"(?iu){starting(words)}(?:{'|'.join(words)}){vocab.LOCATION_TAIL}")
-    return F.array_join(F.regexp_extract_all(text, F.lit(pattern), 0), ", ")
+    return unicode_pattern(f"(?iu){starting(words)}(?:{'|'.join(words)}){vocab.LOCATION_TAIL}")
+
+
+def location_mentions(text: Column) -> Column:
+    return F.array_join(F.regexp_extract_all(text, F.lit(_location_pattern()), 0), ", ")
+
+
+def names_time(text: Column) -> Column:
+    """Whether ``time_mentions`` finds any; the text is read up to the first. A range of hours ends with an hour, so it needs no test."""
+    hour, _, date, numbers = _time_patterns()
+    return text.rlike(hour) | text.rlike(numbers) | text.rlike(date)
+
+
+def names_place(text: Column) -> Column:
+    """Whether ``location_mentions`` finds any."""
+    return text.rlike(_location_pattern())
 
 
 _PLAIN_TAGS = [w for words in vocab.EVENT_KEYWORDS.values() for w in words] + vocab.LOCATION_KEYWORDS + vocab.WEEKDAYS
@@ -89,8 +106,10 @@ def tags(found: Column, most: int = vocab.MOST_TAGS) -> Column:
 
 
 def missing_details(description: Column) -> Column:
-    text = F.lower(said(description))
-    return present(*[F.when(~text.rlike(p), F.lit(sentence)) for p, sentence in vocab.DETAIL_CHECKS])
+    # Lower-cased once as the argument of a lambda; under conditions it would be lower-cased once a word.
+    checks = [(words, sentence) for words, (_, sentence) in zip(vocab.DETAIL_WORDS, vocab.DETAIL_CHECKS)]
+    lacking = lambda text: present(*[F.when(~any_word(text, words), F.lit(line)) for words, line in checks])
+    return F.transform(F.array(F.lower(said(description))), lacking)[0]
 
 
 def title_suggestions(title: Column, no_number: str = vocab.TITLE_NO_DATE) -> Column:
@@ -101,12 +120,13 @@ def title_suggestions(title: Column, no_number: str = vocab.TITLE_NO_DATE) -> Co
     return present(length, F.when(~text.rlike(r"\p{Nd}"), F.lit(no_number)))
 
 
-def description_suggestions(description: Column, when_text: Column, where_text: Column) -> Column:
+def description_suggestions(description: Column) -> Column:
+    """Mentions are looked for up to the first, not taken out: who wants the sentences alone does not pay for all mentions."""
     text = said(description)
     basics = present(
         F.when(F.length(text) < 100, F.lit(vocab.DESCRIPTION_SHORT)),
-        F.when(when_text == "", F.lit(vocab.DESCRIPTION_NO_TIME)),
-        F.when(where_text == "", F.lit(vocab.DESCRIPTION_NO_PLACE)),
+        F.when(~names_time(text), F.lit(vocab.DESCRIPTION_NO_TIME)),
+        F.when(~names_place(text), F.lit(vocab.DESCRIPTION_NO_PLACE)),
     )
     return F.concat(basics, missing_details(description))
 
@@ -139,11 +159,16 @@ def enhanced_text(
 def key_element_suggestions(description: Column) -> Column:
     text = said(description)
     short = F.when(F.length(text) < 100, F.lit(vocab.DESCRIPTION_SHORT))
-    checks = [
-        F.when(~any_word(F.lower(text), words), F.lit(vocab.KEY_ELEMENT_MISSING.format(element=element)))
-        for element, words in vocab.KEY_ELEMENTS.items()
-    ]
-    return present(short, *checks)
+
+    def checks(low: Column) -> Column:
+        return present(
+            *[
+                F.when(~any_word(low, words), F.lit(vocab.KEY_ELEMENT_MISSING.format(element=element)))
+                for element, words in vocab.KEY_ELEMENTS.items()
+            ]
+        )
+
+    return F.concat(present(short), F.transform(F.array(F.lower(text)), checks)[0])
 
 
 def tag_slugs(tags_col: Column, limit: int = 10) -> Column:

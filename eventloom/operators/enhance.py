@@ -31,7 +31,7 @@ def enhance(
         "*",
         f.event_types(F.col("found")).alias("event_type"),
         f.title_suggestions(title).alias("title_suggestions"),
-        f.description_suggestions(description, when_text, where_text).alias("missing_details"),
+        f.description_suggestions(description).alias("missing_details"),
     )
     return typed.select(
         F.col("id").alias("event_id"),
@@ -106,12 +106,12 @@ def key_element_report(events: DataFrame) -> DataFrame:
     return events.select("id", F.posexplode(sentences).alias("pos", "suggestion"))
 
 
-def feature_bundle(events: DataFrame, keywords: DataFrame) -> DataFrame:
+def feature_bundle(events: DataFrame, keywords: DataFrame, one_pass: bool = False) -> DataFrame:
     """Description, tags, suggestions and key terms of every event in one row.
 
-    ``keywords`` holds (id, keywords ARRAY<STRING>), e.g. from ``keywords.key_terms``.
+    ``keywords`` holds (id, keywords ARRAY<STRING>), e.g. from ``keywords.key_terms``; ``one_pass`` as in ``enhance``.
     """
-    content = enhance(events).withColumnRenamed("event_id", "id").select("id", "enhanced_description", "tags")
+    content = enhance(events, one_pass=one_pass).withColumnRenamed("event_id", "id").select("id", "enhanced_description", "tags")
     sentences = events.select(
         "id",
         f.title_suggestions(F.col("title"), vocab.TITLE_NO_NUMBER).alias("title_suggestions"),

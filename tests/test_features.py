@@ -1,6 +1,7 @@
 from pyspark.sql import functions as F
 
 from eventloom import vocab
+from eventloom.functions import features
 from eventloom.functions.features import tag_slugs
 from eventloom.functions.labels import building_label, names_a_building
 from eventloom.operators import analytics as a
@@ -134,3 +135,28 @@ def test_slugs(spark):
 def test_enhancement_needs_no_shuffle(spark, make_events):
     plan = enhance.enhance(make_events(WORKSHOP))._jdf.queryExecution().executedPlan().toString()
     assert "Exchange" not in plan and "Python" not in plan
+
+
+def test_details_by_word_are_those_of_the_patterns(spark):
+    texts = ["sign up", "Sign-UP", "sign  up", "SİGNUP", "registration", "regist", "$", "fe e", "PHONE", "contac t", "", None, "a@b free rsvp"]
+    rows = spark.createDataFrame([(t,) for t in texts], "t STRING")
+    low = F.lower(F.coalesce("t", F.lit("")))
+    plain = F.array_compact(F.array(*[F.when(~low.rlike(p), F.lit(s)) for p, s in vocab.DETAIL_CHECKS]))
+    assert all(r.a == r.b for r in rows.select(features.missing_details(F.col("t")).alias("a"), plain.alias("b")).collect())
+
+
+def test_a_mention_is_told_without_taking_all_out(spark):
+    texts = ["at 3 pm", "3 to 5 PM", "May 5", "1/2/24", "٣ am", "May", "3 p", "1/2", "Room 5", "Room", "fıeld 3", "hall 5", ""]
+    rows = spark.createDataFrame([(t,) for t in texts], "t STRING")
+    t = F.col("t")
+    told = rows.select(
+        features.names_time(t).alias("a"), (features.time_mentions(t) != "").alias("b"),
+        features.names_place(t).alias("c"), (features.location_mentions(t) != "").alias("d"),
+    ).collect()
+    assert all((r.a, r.c) == (r.b, r.d) for r in told) and sum(r.a for r in told) == 5 and sum(r.c for r in told) == 3
+
+
+def test_scores_take_no_mentions_out(make_events, capsys):
+    events = make_events(("Art Party", "2025-01-01", "10:00", "Hall", "at the gym"))
+    enhance.enhance(events, one_pass=True).select("seo_score").explain("simple")
+    assert "regexp_extract_all" not in capsys.readouterr().out
