@@ -106,3 +106,14 @@ def test_split_iso(spark):
     }
     for given, wanted in cases.items():
         assert one(spark, split_iso, given) == wanted
+
+
+def test_long_texts_collapse_as_short_ones(spark):
+    """By Arrow, which reads a text for what has to change before it rewrites any."""
+    from eventloom.functions.text import collapse, collapse_long
+    from eventloom.vocab import WHITESPACE
+
+    texts = [f"a{c}b{c}{c}é{c}" for c in WHITESPACE] + ["a b", " ", "  ", "", None, "a" * 9000 + "  b", "​x", WHITESPACE, "a b " * 50]
+    rows = spark.createDataFrame([(t,) for t in texts], "t STRING")
+    found = rows.select("t", collapse(F.col("t")).alias("a"), collapse_long(F.col("t")).alias("b")).collect()
+    assert all(r.a == r.b for r in found) and len(found) == len(texts)
