@@ -33,3 +33,19 @@ def test_texts_are_dealt_to_as_many_tasks_as_events_ask_for(spark, tmp_path, mon
             text = texts[row.id % 1000]
             assert row.description is None if text is None else row.description.endswith(text)
     assert spread.rdd.getNumPartitions() >= 40
+
+
+def test_an_upsert_reads_the_whole_texts_once(spark, tmp_path, capsys):
+    from eventloom.catalog.queries import QUERIES
+
+    texts = [(i, f"word{i} b c d e f g h i") for i in range(10)]
+    spark.createDataFrame(texts, "doc_id BIGINT, text STRING").write.parquet(f"{tmp_path}/documents.parquet")
+    events = [(i, datetime(2024, 1, 1 + i % 28), i % 7, "view") for i in range(1, 100)]
+    spark.createDataFrame(events, "event_id BIGINT, ts TIMESTAMP, user_id BIGINT, event_type STRING").write.parquet(f"{tmp_path}/events.parquet")
+    table = QUERIES["upsert_events"](spark, str(tmp_path))
+    ids = [r.id for r in table.select("id").collect()]
+    stored = sum(1 + i % 28 < 22 for i in range(1, 100))
+    assert len(ids) == len(set(ids)) > stored
+    table.explain()
+    plan = capsys.readouterr().out
+    assert plan.count("doc_id") and len([line for line in plan.splitlines() if "FileScan" in line and "doc_id" in line]) == 1
