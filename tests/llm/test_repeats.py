@@ -90,3 +90,14 @@ def test_given_documents(spark):
     sf = "/root/testdata/sf0.001"
     rows = [(r.doc_id, r.text) for r in spark.read.parquet(f"{sf}/documents.parquet").collect()]
     assert sorted((tuple(r)[:5] for r in op2_repeats(spark, sf).collect()), key=str) == plain(rows, 400)
+
+
+def test_texts_are_shuffled_once(spark, make_docs):
+    found = repeats.remove_repeats(make_docs(*texts(60)), 60)
+    rows = found.collect()
+    plan = found._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    dealt_out = [line for line in plan.splitlines() if "Exchange hashpartitioning(block" in line and "kind" not in line]
+    assert len(rows) == len(texts(60))
+    # By block: the texts, and the answers for either reader.
+    assert len([line for line in dealt_out if "Reused" not in line]) == 3, plan
+    assert plan.count("ReusedExchange") >= 3, plan
