@@ -1,11 +1,17 @@
+import math
+import random
+import re
+from collections import Counter
+
 from pyspark.sql import functions as F
 
 from eventloom import vocab
+from eventloom.catalog import queries as q
 from eventloom.functions import features
 from eventloom.functions.features import tag_slugs
 from eventloom.functions.labels import building_label, names_a_building
 from eventloom.operators import analytics as a
-from eventloom.operators import enhance
+from eventloom.operators import enhance, keywords
 from eventloom.operators.keywords import key_terms, keyword_lists
 
 WORKSHOP = (
@@ -160,3 +166,57 @@ def test_scores_take_no_mentions_out(make_events, capsys):
     events = make_events(("Art Party", "2025-01-01", "10:00", "Hall", "at the gym"))
     enhance.enhance(events, one_pass=True).select("seo_score").explain("simple")
     assert "regexp_extract_all" not in capsys.readouterr().out
+
+
+def _plain_key_terms(rows, top_n):
+    said = []
+    for id_, text in rows:
+        words = [w for w in re.findall(r"\w{2,}", (text or "").lower()) if w not in vocab.STOP_WORDS]
+        said.append((id_, Counter(words + [f"{a} {b}" for a, b in zip(words, words[1:])])))
+    df = Counter(term for _, terms in said for term in terms)
+    found = {}
+    for id_, terms in said:
+        found.setdefault(id_, []).extend(
+            (-round(tf * (math.log((len(rows) + 1) / (df[t] + 1)) + 1), 9), t, tf, df[t]) for t, tf in terms.items()
+        )
+    return sorted(
+        ((id_, rank, t, tf, n) for id_, all_ in found.items() for rank, (_, t, tf, n) in enumerate(sorted(all_)[:top_n], 1)), key=str
+    )
+
+
+def test_key_terms_in_blocks(spark, monkeypatch):
+    monkeypatch.setattr(keywords, "BLOCK_BYTES", 300)
+    monkeypatch.setattr(keywords, "RANGE_BYTES", 500)
+    rng = random.Random(3)
+    some = ["river", "riverbank", "riverbanks", "été", "naïve", "x1", "stone", "a", "the", "ß_9", "日本"]
+    rows = [(i % 40, " ".join(rng.choice(some) for _ in range(rng.randint(0, 30)))) for i in range(60)]
+    # Many terms of equal score, told apart by name; nulls, blanks, copies under one id and under none.
+    rows += [(100, " ".join(f"internat{rng.randrange(10**6)}" for _ in range(40))), (101, None), (102, ""), (103, " , "), (104, "solo")]
+    rows += [rows[5], rows[5], (None, "river stone river"), (None, "stone")]
+    texts = spark.createDataFrame(rows, "id long, text string")
+    found = key_terms(texts, "id", "text", top_n=3)
+    assert sorted((tuple(r)[:5] for r in found.collect()), key=str) == _plain_key_terms(rows, 3)
+    assert "hashpartitioning(term" not in found._jdf.queryExecution().executedPlan().toString()
+
+
+def test_filtered_listing_makes_no_other_content(spark, tmp_path):
+    days = [f"2024-01-{d:02d} 10:00:00" for d in range(8, 29)]
+    events = [(i, days[i % len(days)], i, "click") for i in range(300)] + [(12, days[3], 1, "view"), (None, days[4], 2, "view")]
+    typed = spark.createDataFrame(events, "event_id long, ts string, user_id long, event_type string")
+    typed.withColumn("ts", F.to_timestamp("ts")).write.parquet(f"{tmp_path}/events.parquet")
+    texts = [(i, f"some words of an art show number {i} with more words after them") for i in range(7)]
+    spark.createDataFrame(texts, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    listed = q.list_all_filtered(spark, str(tmp_path))
+    bounds = {"since": "2024-01-10", "until": "2024-01-26"}
+    rows = q.filters.list_events(
+        q.ce(spark, str(tmp_path), "id", "title", "date", "location", **bounds),
+        q.content(spark, str(tmp_path), "event_type", "seo_score", **bounds),
+        q.AS_OF, limit=None, event_type="Arts", location="bldg", date_from="2024-01-10", date_to="2024-01-25",
+    )
+    assert listed.count() > 50
+    assert sorted(map(tuple, listed.collect()), key=str) == sorted(map(tuple, q.ints_as_long(q.filters.list_display(rows)).collect()), key=str)
+    # Ids are met before any text is: the semi join stands below the join with the documents.
+    plan = listed._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    semi = next(line for line in plan if "LeftSemi" in line)
+    texts_join = [line for line in plan[: plan.index(semi)] if "Join LeftOuter, (own" in line]
+    assert texts_join and min(len(x) - len(x.lstrip(" :")) for x in texts_join) < len(semi) - len(semi.lstrip(" :")), "\n".join(plan)
