@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from .. import vocab
 from .text import any_word, slug, strip, unicode_pattern
-from .words import words_in
+from .words import words_in, words_near
 
 
 def present(*items: Column) -> Column:
@@ -59,9 +59,20 @@ def names_place(text: Column) -> Column:
     return text.rlike(_location_pattern())
 
 
+def near_mentions(text: Column) -> Column:
+    """The words that mentions of times and places can be made of; the functions above find in them what they find in the text.
+
+    A time has a word before its first number (the month) or three after it, a place two after its keyword. One pass in Python workers
+    leaves so little that the patterns, each of which reads its text letter by letter, cost next to nothing.
+    """
+    return words_near(text, (1, 3), vocab.LOCATION_KEYWORDS, (0, 2))
+
+
 _PLAIN_TAGS = [w for words in vocab.EVENT_KEYWORDS.values() for w in words] + vocab.LOCATION_KEYWORDS + vocab.WEEKDAYS
 #: All words that types and tags are told by.
 KEYWORDS = list(dict.fromkeys(_PLAIN_TAGS + [w for words in vocab.DAYPART_WORDS.values() for w in words]))
+#: Those and the words that details are told by.
+ALL_WORDS = list(dict.fromkeys(KEYWORDS + [w for words in vocab.DETAIL_WORDS for w in words]))
 
 
 def full_text(title: Column, description: Column) -> Column:
@@ -105,7 +116,11 @@ def tags(found: Column, most: int = vocab.MOST_TAGS) -> Column:
     return F.slice(F.sort_array(F.array_union(plain, groups)), 1, most)
 
 
-def missing_details(description: Column) -> Column:
+def missing_details(description: Column, found: Column | None = None) -> Column:
+    """``found`` are those of ``ALL_WORDS`` that the description holds, where they are known."""
+    if found is not None:
+        pairs = zip(vocab.DETAIL_WORDS, vocab.DETAIL_CHECKS)
+        return present(*[F.when(~_any_of(found, words), F.lit(sentence)) for words, (_, sentence) in pairs])
     # Lower-cased once as the argument of a lambda; under conditions it would be lower-cased once a word.
     checks = [(words, sentence) for words, (_, sentence) in zip(vocab.DETAIL_WORDS, vocab.DETAIL_CHECKS)]
     lacking = lambda text: present(*[F.when(~any_word(text, words), F.lit(line)) for words, line in checks])
@@ -120,15 +135,19 @@ def title_suggestions(title: Column, no_number: str = vocab.TITLE_NO_DATE) -> Co
     return present(length, F.when(~text.rlike(r"\p{Nd}"), F.lit(no_number)))
 
 
-def description_suggestions(description: Column) -> Column:
-    """Mentions are looked for up to the first, not taken out: who wants the sentences alone does not pay for all mentions."""
+def description_suggestions(description: Column, near: Column | None = None, found: Column | None = None) -> Column:
+    """Mentions are looked for up to the first, not taken out: who wants the sentences alone does not pay for all mentions.
+
+    ``near`` are the description's ``near_mentions``, ``found`` its words, as in ``missing_details``, where they are known.
+    """
     text = said(description)
+    near = text if near is None else near
     basics = present(
         F.when(F.length(text) < 100, F.lit(vocab.DESCRIPTION_SHORT)),
-        F.when(~names_time(text), F.lit(vocab.DESCRIPTION_NO_TIME)),
-        F.when(~names_place(text), F.lit(vocab.DESCRIPTION_NO_PLACE)),
+        F.when(~names_time(near), F.lit(vocab.DESCRIPTION_NO_TIME)),
+        F.when(~names_place(near), F.lit(vocab.DESCRIPTION_NO_PLACE)),
     )
-    return F.concat(basics, missing_details(description))
+    return F.concat(basics, missing_details(description, found))
 
 
 def seo_score(title: Column, description: Column, n_title: Column, n_description: Column) -> Column:

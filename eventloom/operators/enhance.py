@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from .. import vocab
 from ..functions import features as f
+from ..functions.words import words_in
 
 
 def enhance(
@@ -14,25 +15,32 @@ def enhance(
 ) -> DataFrame:
     """One narrow projection, no shuffle: id, content columns, ``tags`` and the two suggestion lists; ``keep`` are columns to pass on.
 
-    ``one_pass`` finds the keywords of types and tags by an automaton in Python workers, which long texts repay.
+    ``one_pass`` reads long texts in Python workers: an automaton finds the words of types, tags and details, and patterns for times and
+    places meet only the words near them. Who wants the suggestions alone needs no worker for them.
     """
     title, description = F.col("title"), F.col("description")
-    read = events.select(
-        "id",
-        "title",
-        "description",
-        *[c for c in keep if c not in ("id", "title", "description")],
-        f.keywords(title, description, one_pass).alias("found"),
-        f.time_mentions(f.said(description)).alias("structured_time"),
-        f.location_mentions(f.said(description)).alias("structured_location"),
-    )
-    when_text, where_text = F.col("structured_time"), F.col("structured_location")
+    given = events.select("id", "title", "description", *[c for c in keep if c not in ("id", "title", "description")])
+    if one_pass:
+        # No keyword holds a blank, so none spans title and description. All that read the description share one copy sent.
+        read = given.select(
+            "*",
+            words_in(f.said(title), f.KEYWORDS, any_case=True).alias("in_title"),
+            words_in(f.said(description), f.ALL_WORDS, any_case=True).alias("in_description"),
+            f.near_mentions(f.said(description)).alias("near"),
+        ).withColumn("found", F.array_union("in_title", "in_description"))
+        suggested = F.size(f.description_suggestions(description, F.col("near"), F.col("in_description")))
+    else:
+        read = given.select("*", f.keywords(title, description).alias("found"), f.said(description).alias("near"))
+        suggested = F.size("missing_details")
     typed = read.select(
         "*",
+        f.time_mentions(F.col("near")).alias("structured_time"),
+        f.location_mentions(F.col("near")).alias("structured_location"),
         f.event_types(F.col("found")).alias("event_type"),
         f.title_suggestions(title).alias("title_suggestions"),
         f.description_suggestions(description).alias("missing_details"),
     )
+    when_text, where_text = F.col("structured_time"), F.col("structured_location")
     return typed.select(
         F.col("id").alias("event_id"),
         f.enhanced_text(description, when_text, where_text, F.col("event_type"), footer).alias(
@@ -41,7 +49,7 @@ def enhance(
         "structured_time",
         "structured_location",
         "event_type",
-        f.seo_score(title, description, F.size("title_suggestions"), F.size("missing_details")).alias("seo_score"),
+        f.seo_score(title, description, F.size("title_suggestions"), suggested).alias("seo_score"),
         "missing_details",
         "title_suggestions",
         f.tags(F.col("found")).alias("tags"),
