@@ -87,22 +87,22 @@ def tag_text(tags: DataFrame, separator: str = ", ") -> DataFrame:
     return tags.groupBy("event_id").agg(F.array_join(F.array_sort(F.collect_set("tag")), separator).alias("tags"))
 
 
-def event_detail(events: DataFrame, content: DataFrame, tags: DataFrame) -> DataFrame:
-    """Events with content and tag list, one row per event."""
-    return (
+def event_detail(events: DataFrame, content: DataFrame, tags: DataFrame, own: DataFrame | None = None) -> DataFrame:
+    """Events with content and tag list, one row per event.
+
+    ``own``: rows of ``enhance`` that kept the events' columns, for further events whose id no other row has. Their content stands
+    beside them, so their texts are not shuffled.
+    """
+    columns = ["id", "title", "description", "date", "time", "location", *CONTENT_COLUMNS[1:], "tags"]
+    detail = (
         events.join(content.withColumnRenamed("event_id", "id"), "id", "left")
         .join(tag_text(tags, ",").withColumnRenamed("event_id", "id"), "id", "left")
-        .select(
-            "id",
-            "title",
-            "description",
-            "date",
-            "time",
-            "location",
-            *CONTENT_COLUMNS[1:],
-            "tags",
-        )
+        .select(*columns)
     )
+    if own is None:
+        return detail
+    text = F.when(F.size("tags") > 0, F.array_join(F.array_sort(F.array_distinct("tags")), ","))
+    return own.withColumnRenamed("event_id", "id").withColumn("tags", text).select(*columns).unionByName(detail)
 
 
 def key_element_report(events: DataFrame) -> DataFrame:
