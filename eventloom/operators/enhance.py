@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from .. import vocab
 from ..functions import features as f
 from ..functions.words import words_in
+from .late import Reader
 
 
 def enhance(
@@ -76,10 +77,11 @@ def tags_of(enhanced: DataFrame) -> DataFrame:
     return enhanced.select("event_id", F.explode("tags").alias("tag"))
 
 
-def enhancement_queue(events: DataFrame, content: DataFrame) -> DataFrame:
-    """Events without content, or whose enhanced description is still missing."""
+def enhancement_queue(events: DataFrame | Reader, content: DataFrame) -> DataFrame:
+    """Events without content, or whose enhanced description is still missing. A reader fetches the texts of these alone."""
     done = content.filter("enhanced_description IS NOT NULL").select(F.col("event_id").alias("id"))
-    return events.select("id", "title", "description").join(done, "id", "left_anti")
+    wait = lambda rows: rows.join(done, "id", "left_anti")
+    return (events(wait) if callable(events) else wait(events)).select("id", "title", "description")
 
 
 def tag_text(tags: DataFrame, separator: str = ", ") -> DataFrame:

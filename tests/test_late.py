@@ -55,3 +55,10 @@ def test_detail_joins_nothing_where_ids_come_once(stored):
     single = stored.filter("id IN (1, 3, 4)")
     assert rows_of(late_detail(single)) == rows_of(detail(single))
     assert joins(late_detail(single)) == ["LeftOuter"]
+
+
+def test_queue_drops_rows_before_texts_are_fetched(stored):
+    content = stored.filter("id IN (2, 3)").select(F.col("id").alias("event_id"), F.lit("done").alias("enhanced_description"))
+    late = enhance.enhancement_queue(reader(stored), content)
+    assert rows_of(late) == rows_of(enhance.enhancement_queue(stored, content))
+    assert joins(late)[0] == "LeftOuter" and "LeftAnti" in joins(late)[1:]
