@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from .. import vocab
 from ..functions import features as f
 from ..functions.words import words_in
-from .late import Reader
+from .late import Reader, split_by_id
 
 
 def enhance(
@@ -116,25 +116,28 @@ def key_element_report(events: DataFrame) -> DataFrame:
     return events.select("id", F.posexplode(sentences).alias("pos", "suggestion"))
 
 
-def feature_bundle(events: DataFrame, keywords: DataFrame, one_pass: bool = False) -> DataFrame:
+def feature_bundle(events: DataFrame | Reader, keywords: DataFrame, one_pass: bool = False) -> DataFrame:
     """Description, tags, suggestions and key terms of every event in one row.
 
-    ``keywords`` holds (id, keywords ARRAY<STRING>), e.g. from ``keywords.key_terms``; ``one_pass`` as in ``enhance``.
+    ``keywords`` holds (id, keywords ARRAY<STRING>), e.g. from ``keywords.key_terms``; ``one_pass`` as in ``enhance``. A reader
+    fetches texts after the key terms are joined; where an id comes once all stands in one row, so no text is shuffled by its id.
     """
-    content = enhance(events, one_pass=one_pass).withColumnRenamed("event_id", "id").select("id", "enhanced_description", "tags")
-    sentences = events.select(
-        "id",
+    once, again = split_by_id(events) if callable(events) else (None, events)
+    sentences = [
         f.title_suggestions(F.col("title"), vocab.TITLE_NO_NUMBER).alias("title_suggestions"),
         f.key_element_suggestions(F.col("description")).alias("description_suggestions"),
-    )
+    ]
+    columns = ["id", "title_suggestions", "description_suggestions", "enhanced_description", "tags", "keywords"]
+    content = enhance(again, one_pass=one_pass).withColumnRenamed("event_id", "id").select("id", "enhanced_description", "tags")
+    bundle = again.select("id", *sentences).join(content, "id").join(keywords, "id", "left").select(*columns)
+    if once is not None:
+        known = once(lambda rows: rows.join(keywords, "id", "left"))
+        own = enhance(known, keep=("title", "description", "keywords"), one_pass=one_pass).withColumnRenamed("event_id", "id")
+        bundle = own.select("id", *sentences, "enhanced_description", "tags", "keywords").unionByName(bundle)
     hint = F.when(
         F.size("keywords") > 0, F.array(F.concat(F.lit(vocab.KEYWORD_HINT), F.array_join("keywords", ", ")))
     ).otherwise(F.array().cast("array<string>"))
-    return (
-        sentences.join(content, "id")
-        .join(keywords, "id", "left")
-        .withColumns({"general_suggestions": hint, "tags": f.tag_slugs(F.col("tags"))})
-    )
+    return bundle.withColumns({"general_suggestions": hint, "tags": f.tag_slugs(F.col("tags"))})
 
 
 def default_content(events: DataFrame, content: DataFrame) -> DataFrame:

@@ -62,3 +62,12 @@ def test_queue_drops_rows_before_texts_are_fetched(stored):
     late = enhance.enhancement_queue(reader(stored), content)
     assert rows_of(late) == rows_of(enhance.enhancement_queue(stored, content))
     assert joins(late)[0] == "LeftOuter" and "LeftAnti" in joins(late)[1:]
+
+
+def test_bundle_fetches_texts_after_key_terms(spark, stored):
+    terms = spark.createDataFrame([(1, ["a"]), (2, ["b"]), (2, ["c"]), (4, [])], "id BIGINT, keywords ARRAY<STRING>")
+    assert rows_of(enhance.feature_bundle(reader(stored), terms)) == rows_of(enhance.feature_bundle(stored, terms))
+    single = stored.filter("id IN (1, 3, 4)")
+    late = enhance.feature_bundle(reader(single), terms)
+    assert rows_of(late) == rows_of(enhance.feature_bundle(single, terms))
+    assert joins(late) == ["LeftOuter", "LeftOuter"]
